@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_pairs, decontam, gbdt_quality, line_dedup, mixing, secret_scan, warc_fixity, zstd_bands
+from . import chat_pairs, decontam, ef_lm, gbdt_quality, line_dedup, mixing, secret_scan, trie_join, warc_fixity, zstd_bands
 from .common import table
 
 
@@ -22,6 +22,14 @@ def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_bands.compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op4_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ef_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
+def op5_trie_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return warc_fixity.audit_pages(pages, warc_fixity.replica_with_faults(pages))
@@ -44,7 +52,7 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_preference, op2_secret_scan, op3_compression_bands, op6_merkle_fixity, op7_systematic_mix, op8_quality_trees, op9_edit_decontam, op10_site_lines)}
+    return {f.__name__: f for f in (op1_chat_preference, op2_secret_scan, op3_compression_bands, op4_elias_fano_lm, op5_trie_jaccard, op6_merkle_fixity, op7_systematic_mix, op8_quality_trees, op9_edit_decontam, op10_site_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
