@@ -6,7 +6,8 @@ prefix share a shingle, so documents meet in the lists of their prefix shingles.
 
 1. Documents with equal sets are one class.
 2. In every list all classes are paired with one leader. Verified links join most near copies.
-3. Lists with classes of more than one component give the pairs across components, which are verified too. Pairs within a
+3. Pairs whose parity sketches differ in too many bits are dropped, an exact bound that moves a few bytes for each set.
+4. Lists with classes of more than one component give the pairs across components, which are verified too. Pairs within a
    component add nothing to it, so a large group of near copies never makes all its pairs, and no link between components
    is lost.
 
@@ -70,6 +71,23 @@ def class_of(codes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(codes.tobytes(), digest_size=8).digest(), "big") >> 1
 
 
+def sketch_of(codes: np.ndarray) -> bytes:
+    """Parity of the codes in each of 2 to 4 buckets per code: two sets differ in no fewer codes than their sketches in bits."""
+    bits = max(64, 1 << (2 * len(codes) - 1).bit_length())
+    return np.packbits(np.bincount(codes & (bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def may_link(x: bytes, n: int, y: bytes, m: int) -> bool:
+    """False only where the sketches show that the sets differ in more codes than 7 * difference <= n + m allows."""
+    if len(x) < len(y):
+        x, y = y, x
+    a, b, size = int.from_bytes(x, "little"), int.from_bytes(y, "little"), 8 * len(x)
+    while size > 8 * len(y):
+        size //= 2
+        a = (a >> size) ^ (a & ((1 << size) - 1))
+    return OVERLAP * (a ^ b).bit_count() <= n + m
+
+
 def probe_prefix(n: int) -> int:
     return n - (3 * n + 3) // 4 + 1
 
@@ -151,14 +169,14 @@ class SetTrie:
 
 def profiles(docs: DataFrame) -> DataFrame:
     """For every row doc_id, n, node (its class, null without words); and rows with a task's frequent shingles."""
-    schema = pa.schema([("frequent", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+    schema = pa.schema([("frequent", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("sketch", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, seen = WordCodes(), [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         for rows, texts in slices(batches):
             sets = shingle_sets(texts, codes)
             k = len(sets)
-            yield pa.record_batch([pa.array([False] * k), rows.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], schema=schema)
+            yield pa.record_batch([pa.array([False] * k), rows.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([sketch_of(s) if len(s) else None for s in sets], pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], schema=schema)
             key, count = np.unique(np.concatenate(sets), return_counts=True) if k else (np.zeros(0, np.int64),) * 2
             often = count >= 3
             seen[0], back = np.unique(np.concatenate([seen[0], key[often]]), return_inverse=True)
@@ -168,9 +186,9 @@ def profiles(docs: DataFrame) -> DataFrame:
                 seen = [seen[0][top], seen[1][top]]
         top = np.argsort(-seen[1], kind="stable")[:FREQUENT]
         if len(top):
-            yield pa.record_batch([pa.array([True]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([seen[0][top].tobytes()]), pa.array([seen[1][top].tobytes()])], schema=schema)
+            yield pa.record_batch([pa.array([True]), *(pa.nulls(1, pa.int64()) for _ in range(3)), pa.nulls(1, pa.binary()), pa.array([seen[0][top].tobytes()]), pa.array([seen[1][top].tobytes()])], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "frequent boolean, doc_id long, n long, node long, keys binary, counts binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "frequent boolean, doc_id long, n long, node long, sketch binary, keys binary, counts binary")
 
 
 def frequent_order(made: DataFrame) -> Order:
@@ -273,6 +291,19 @@ def merged(run, schema: pa.Schema, least: int = 2000):
     return inner
 
 
+def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the sketches leave open. No pair that links is lost."""
+    side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("sketch").alias(f"{c}_sketch"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, x, y = (batch.column(i).to_pylist() for i in range(2, 6))
+            yield batch.select(["a", "b"]).filter(pa.array([may_link(s, i, t, j) for s, i, t, j in zip(x, n, y, m, strict=True)], pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, width: int) -> DataFrame:
     """The pairs (a, b) of classes that link. b probes a trie of the sets of its a's, PART at a time."""
     pairs = pairs.withColumn("part", F.floor(F.pmod(F.xxhash64("a"), F.lit(1 << 30)) / (1 << 24)))
@@ -365,24 +396,26 @@ def join_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     made = stored(profiles(docs), "profiles")
-    rows = made.filter("NOT frequent").select("doc_id", "n", "node")
+    rows = made.filter("NOT frequent").select("doc_id", "n", "node", "sketch")
     total = rows.agg(F.sum("n")).first()[0] or 0
     width = shuffle_width(spark, total / 4, PER_TASK)
     order = spark.sparkContext.broadcast(frequent_order(made))
-    classes = stored(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")), "classes")
+    classes = stored(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
     found = stored(prefix_lists(docs, order, width), "lists")
     leads = found.filter("kind = 2").select("gid", F.col("a").alias("node"))
     first = leads.groupBy("gid").agg(F.min("node").alias("b"))
     stars = found.filter("kind = 0").select("a", "b").union(leads.join(first, "gid").filter("node <> b").select("node", "b")).distinct()
-    near = stored(verified(stored(stars, "stars"), docs, classes, order, width), "links")
+    # one leader for each class is enough here: what this leaves apart is compared again across components
+    open_stars = stored(plausible(stars, classes).groupBy("a").agg(F.min("b").alias("b")), "stars")
+    near = stored(verified(open_stars, docs, classes, order, width), "links")
     labels = stored(components(near), "labels")
-    rest = stored(across(found.filter("kind = 1"), labels, width), "across")
+    rest = stored(plausible(across(found.filter("kind = 1"), labels, width), classes), "across")
     more = verified(rest, docs, classes, order, width)
     labels = stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "labels")
     named = classes.join(labels, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_node = named.join(least, "component").select("node", "component_id")
-    out = rows.join(by_node, "node", "left")
+    out = rows.drop("sketch").join(by_node, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
