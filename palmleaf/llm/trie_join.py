@@ -205,7 +205,7 @@ def frequent_order(made: DataFrame) -> Order:
 
 
 def prefix_lists(docs: DataFrame, order, width: int) -> DataFrame:
-    """Pairs with leaders, and lists: kind 0 (a, b), kind 1 (gid, part, nodes, sizes), kind 2 (gid, a: a part's leader, b: its size)."""
+    """Pairs with leaders, and lists: kind 0 (gid: a task, nodes: a and b, sizes: their lists), kind 1 (gid, part, nodes, sizes), kind 2 (gid, a: a part's leader, b: its size)."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, done = WordCodes(), set()
@@ -252,8 +252,12 @@ def prefix_lists(docs: DataFrame, order, width: int) -> DataFrame:
             n, lead = size >> 1, size[first] >> 1
             near = useful[group_no] & (np.arange(len(key)) != first) & (4 * np.minimum(n, lead) >= 3 * np.maximum(n, lead))
             if near.any():
-                pairs = np.unique(np.column_stack([node[near], node[first[near]]]), axis=0)
-                yield rows(0, len(pairs), a=pairs[:, 0], b=pairs[:, 1])
+                pairs, times = np.unique(np.column_stack([node[near], node[first[near]]]), axis=0, return_counts=True)
+                home = (mix(pairs[:, 0].astype(np.uint64)) % np.uint64(width)).astype(np.int64)
+                by = np.argsort(home, kind="stable")
+                cuts = np.flatnonzero(np.diff(home[by])) + 1
+                packed = lambda v, t: [x.astype(t).tobytes() for x in np.split(v[by], cuts)]  # noqa: B023, E731
+                yield rows(0, len(cuts) + 1, gid=home[by][np.r_[0, cuts]], nodes=packed(pairs, np.int64), sizes=packed(times, np.int32))
             if salted.any():
                 at = starts[salted]
                 yield rows(2, len(at), gid=key[at], a=node[at], b=size[at].astype(np.int64))
@@ -273,6 +277,26 @@ def prefix_lists(docs: DataFrame, order, width: int) -> DataFrame:
     return made
 
 
+def best_leaders(found: DataFrame, width: int) -> DataFrame:
+    """For each class a its leader b with which it shares the most lists, the least one of equals."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in groups_of(batches, "gid"):
+            pairs = np.frombuffer(b"".join(group.column("nodes").to_pylist()), np.int64).reshape(-1, 2)
+            times = np.frombuffer(b"".join(group.column("sizes").to_pylist()), np.int32)
+            by = np.lexsort((pairs[:, 1], pairs[:, 0]))
+            pairs, times = pairs[by], times[by]
+            starts = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)])
+            pairs, times = pairs[starts], np.add.reduceat(times, starts)
+            by = np.lexsort((pairs[:, 1], -times, pairs[:, 0]))
+            best = pairs[by[np.flatnonzero(np.r_[True, np.diff(pairs[by, 0]) != 0])]]
+            yield pa.record_batch([pa.array(best[:, 0]), pa.array(best[:, 1])], schema=schema)
+
+    packed = found.filter("kind = 0").select("gid", "nodes", "sizes")
+    return packed.repartition(width, "gid").sortWithinPartitions("gid").mapInArrow(run, "a long, b long")
+
+
 def merged(run, schema: pa.Schema, least: int = 2000):
     """run with its small batches put together."""
 
@@ -404,9 +428,9 @@ def join_documents(docs: DataFrame) -> DataFrame:
     found = stored(prefix_lists(docs, order, width), "lists")
     leads = found.filter("kind = 2").select("gid", F.col("a").alias("node"))
     first = leads.groupBy("gid").agg(F.min("node").alias("b"))
-    stars = found.filter("kind = 0").select("a", "b").union(leads.join(first, "gid").filter("node <> b").select("node", "b")).distinct()
     # one leader for each class is enough here: what this leaves apart is compared again across components
-    open_stars = stored(plausible(stars, classes).groupBy("a").agg(F.min("b").alias("b")), "stars")
+    stars = best_leaders(found, width).union(leads.join(first, "gid").filter("node <> b").select("node", "b").distinct())
+    open_stars = stored(plausible(stars, classes).distinct(), "stars")
     near = stored(verified(open_stars, docs, classes, order, width), "links")
     labels = stored(components(near), "labels")
     rest = stored(plausible(across(found.filter("kind = 1"), labels, width), classes), "across")
