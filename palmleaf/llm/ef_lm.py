@@ -37,7 +37,7 @@ DISCOUNT = 0.75
 #: Steps of one unit of a base-10 logarithm, and the largest code.
 STEPS, LARGEST = 200, 4095
 #: Tokens of one shard.
-PER_SHARD = 1_500_000
+PER_SHARD = 500_000
 BITS = 18
 START, END, OTHER, FIRST = 0, 1, 2, 3
 #: Marks the hash of a word that has no id.
@@ -219,7 +219,7 @@ class Trie:
 class WordIds(dict):
     """Word bytes to an id, or to RARE | hash for a word outside the vocabulary; remembered for a bounded number of words."""
 
-    LIMIT = 1 << 19
+    LIMIT = 1 << 18
 
     def __init__(self, ids: dict[int, int] | None = None):
         self.ids = ids or {}
@@ -284,7 +284,7 @@ def _count_words(docs: DataFrame, width: int) -> Vocabulary:
             codes, _ = tokens_of([t for t, x in zip(raw, train, strict=True) if x], words)
             texts += int(train.sum())
             held.append(np.unique(codes[codes != END], return_counts=True))
-            if sum(len(k) for k, _ in held) > 1_500_000:
+            if sum(len(k) for k, _ in held) > 700_000:
                 yield out()
                 held.clear()
         if held:
@@ -397,6 +397,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 flat, flags = np.concatenate(keys), np.concatenate(slots) & 1
                 asked, back = np.unique(flat, return_inverse=True)
                 n = np.bincount(back, flags, len(asked)).astype(np.int64)
+                del flat, flags
                 tri, tri_n = asked[n > 0], n[n > 0]
                 pair = (tri >> (2 * BITS) << BITS) | (tri & ((1 << BITS) - 1))
                 whole = parts[pair >> BITS] == 1
