@@ -11,7 +11,6 @@ which is one pass over the documents, and the passes are united.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -26,13 +25,11 @@ ERROR_RATE = 0.1
 SLICE = 4_000_000
 #: Items with fewer characters than this are too short to be evidence, and are matched by nothing.
 LEAST_CHARS = 24
-BLANKS = re.compile(r"[\x20\x09-\x0D]+")
-UPPER = {c: c + 32 for c in range(65, 91)}
 SCHEMA = "doc_id long, item_id long, distance int, end_char long"
 
 
 def normalised(text: str) -> str:
-    return BLANKS.sub(" ", text.translate(UPPER)).strip(" ")
+    return b" ".join(text.encode("utf-8", "replace").lower().split()).decode("utf-8")
 
 
 def pieces(item: str, budget: int) -> Iterator[tuple[int, str]]:
@@ -43,6 +40,18 @@ def pieces(item: str, budget: int) -> Iterator[tuple[int, str]]:
         yield a, item[a:b]
 
 
+def follows(text: str, at: int, left: str, right: str) -> bool:
+    """Whether the piece left + right, with one edit at most, can start at text[at]: one of its halves is unchanged.
+
+    Some piece without edits has this for its successor in every passage within budget: take the last place at which edits
+    so far minus pieces so far is greatest; from there on, j pieces have fewer than j edits.
+    """
+    if text.startswith(left, at):
+        return True
+    at += len(left)
+    return text.startswith(right, at) or text.startswith(right, at - 1) or text.startswith(right, at + 1)
+
+
 class Myers:
     """Least edit distance between one pattern and any substring of a text."""
 
@@ -86,8 +95,10 @@ class Matcher:
             if len(form) < LEAST_CHARS:
                 continue
             budget = int(rate * len(form))
-            for start, piece in pieces(form, budget):
-                where.setdefault(piece, []).append((len(self.items), start))
+            cut = list(pieces(form, budget))
+            for (start, piece), (_, after) in zip(cut, [*cut[1:], (0, "")], strict=True):
+                half = len(after) // 2
+                where.setdefault(piece, []).append((len(self.items), start, after[:half], after[half:]))
             self.items.append((item_id, form, budget))
         self.automaton = ahocorasick.Automaton()
         for piece, at in where.items():
@@ -104,7 +115,9 @@ class Matcher:
         windows: dict[int, list[tuple[int, int]]] = {}
         for last, (size, at) in self.automaton.iter(form):
             begin = last + 1 - size
-            for i, start in at:
+            for i, start, left, right in at:
+                if not follows(form, last + 1, left, right):
+                    continue
                 _, item, budget = self.items[i]
                 a, b = max(0, begin - start - budget), min(len(form), begin - start + len(item) + budget)
                 runs = windows.setdefault(i, [])
