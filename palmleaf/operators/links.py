@@ -1,0 +1,73 @@
+"""Links of web pages: every reference of a page with its label, in order, by the standard library's HTML parser."""
+
+from __future__ import annotations
+
+import re
+import urllib.parse
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import DataFrame
+
+CODE = re.compile(r"""['"]([^'"\s<>]+?\.(?:pdf|docx)(?:\?[^'"\s<>]*)?)['"]""", re.I)
+FILE = re.compile(r"\.(pdf|docx)$", re.I)
+SCHEMA = "page_id long, pos int, kind string, url string, label string"
+
+
+class _Links(HTMLParser):
+    def __init__(self, base: str):
+        super().__init__(convert_charrefs=True)
+        self.base, self.found, self.open = base, [], None
+
+    def handle_starttag(self, tag, attrs):
+        given = {k: v or "" for k, v in attrs}
+        if tag == "base" and given.get("href"):
+            self.base = urllib.parse.urljoin(self.base, given["href"])
+        for k, v in given.items():
+            if k == "href" and tag in ("a", "area"):
+                self.open = ["anchor", v, ""]
+                self.found.append(self.open)
+            elif k == "action" and tag == "form":
+                self.found.append(["form", v, ""])
+            elif k.startswith("data-") and FILE.search(v.split("?")[0]):
+                self.found.append(["data", v, given.get("title", "")])
+            elif k == "onclick":
+                self.found += [["code", x, ""] for x in CODE.findall(v)]
+
+    def handle_data(self, data):
+        if self.open:
+            self.open[2] += data
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.open = None
+
+
+def links_of(html: str, url: str) -> list[tuple[str, str, str]]:
+    """(kind, absolute URL, label); only HTTP, without fragment, the first label of a URL."""
+    parser = _Links(url)
+    parser.feed(html)
+    out, seen = [], set()
+    for kind, raw, label in parser.found:
+        try:
+            full = urllib.parse.urldefrag(urllib.parse.urljoin(parser.base, raw.strip()))[0]
+        except ValueError:
+            continue
+        if full.lower().startswith(("http://", "https://")) and full not in seen:
+            seen.add(full)
+            out.append((kind, full, " ".join(label.split())[:180]))
+    return out
+
+
+def page_links(pages: DataFrame, files_only: bool = False) -> DataFrame:
+    """A row for each distinct link of every page (page_id, url, html)."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = []
+            for page, url, html in part.itertuples(index=False):
+                rows += [(page, i, *x) for i, x in enumerate(links_of(html or "", url or "")) if not files_only or FILE.search(urllib.parse.urlsplit(x[1]).path)]
+            yield pd.DataFrame(rows, columns=["page_id", "pos", "kind", "url", "label"])
+
+    return pages.select("page_id", "url", "html").mapInPandas(run, SCHEMA)
