@@ -375,8 +375,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, width
     return dealt.mapInArrow(merged(compare, link_schema), "a long, b long")
 
 
-def across(lists: DataFrame, labels: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) of members of one list that are in different components and whose sizes and prefixes allow a link."""
+def across(lists: DataFrame, labels: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """The pairs (a, b) of members of one list that are in different components and whose sizes, prefixes and sketches allow a link."""
     schema = pa.schema([("gid", pa.int64()), ("part", pa.int64()), ("node", pa.int64()), ("size", pa.int64())])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,6 +392,7 @@ def across(lists: DataFrame, labels: DataFrame, width: int) -> DataFrame:
     mixed = named.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.collect_set("part").alias("parts")).filter("lo < hi").select("gid", "parts")
     blocks = F.transform("parts", lambda p: F.struct(F.least(p, F.col("part")).alias("p"), F.greatest(p, F.col("part")).alias("q")))
     dealt = named.join(mixed, "gid").select("gid", F.explode(blocks).alias("block"), "part", "node", "size", "component").select("gid", "block.p", "block.q", F.xxhash64("gid", "block.p", "block.q").alias("key"), "part", "node", "size", "component")
+    dealt = dealt.join(classes.select("node", "sketch"), "node")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,6 +405,9 @@ def across(lists: DataFrame, labels: DataFrame, width: int) -> DataFrame:
             allowed = (component[left][:, None] != component[right][None, :]) & (4 * np.minimum(n[:, None], m[None, :]) >= 3 * np.maximum(n[:, None], m[None, :]))
             allowed &= np.where(low, (size[left] & 1).astype(bool)[:, None], (size[right] & 1).astype(bool)[None, :]) | ((n[:, None] == m[None, :]) & (size[right] & 1).astype(bool)[None, :])
             i, j = np.nonzero(allowed)
+            raw = group.column("sketch").to_pylist()
+            open_ = np.fromiter((may_link(raw[x], size[x] >> 1, raw[y], size[y] >> 1) for x, y in zip(left[i].tolist(), right[j].tolist(), strict=True)), bool, len(i))
+            i, j = i[open_], j[open_]
             a, b = node[left[i]], node[right[j]]
             pairs = np.unique(np.column_stack([np.maximum(a, b), np.minimum(a, b)]), axis=0) if len(i) else np.zeros((0, 2), np.int64)
             yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=out)
@@ -433,7 +437,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
     open_stars = stored(plausible(stars, classes).distinct(), "stars")
     near = stored(verified(open_stars, docs, classes, order, width), "links")
     labels = stored(components(near), "labels")
-    rest = stored(plausible(across(found.filter("kind = 1"), labels, width), classes), "across")
+    rest = stored(across(found.filter("kind = 1"), labels, classes, width), "across")
     more = verified(rest, docs, classes, order, width)
     labels = stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "labels")
     named = classes.join(labels, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
@@ -446,8 +450,8 @@ def join_documents(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs, all columns, with one row of each component: the one with the least doc_id.
 
-    Rows without words stay, each a component of its own. Rows with a null doc_id stay unless a row with an id is in their
-    component. Of rows that repeat the kept id, one stays.
+    Rows without words stay, each a component of its own. Rows with a null doc_id stay, as nothing names them. Of rows that
+    repeat the kept id, one stays.
     """
     found = join_documents(docs)
     kept = stored(found.filter("n_shingles > 0 AND doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
