@@ -7,8 +7,10 @@ prefix share a shingle, so documents meet in the lists of their prefix shingles.
 1. Documents with equal sets are one class.
 2. In every list all classes are paired with one leader. Verified links join most near copies.
 3. Pairs whose parity sketches differ in too many bits are dropped, an exact bound that moves a few bytes for each set.
-4. Lists with classes of more than one component give the pairs across components, which are verified too. Pairs within a
-   component add nothing to it, so a large group of near copies never makes all its pairs, and no link between components
+4. Lists with classes of more than one component give a forest of pairs that would join those components, which is verified.
+   This is linear in a list's length and joins what the leaders left apart of a large group of near copies.
+5. Lists that still have more than one component give all their pairs across components, which are verified too. Pairs within
+   a component add nothing to it, so a large group of near copies never makes all its pairs, and no link between components
    is lost.
 
 Verification is the trie: the sets to be compared with one probe are put in a prefix tree whose branches share partial
@@ -375,8 +377,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, width
     return dealt.mapInArrow(merged(compare, link_schema), "a long, b long")
 
 
-def across(lists: DataFrame, labels: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) of members of one list that are in different components and whose sizes, prefixes and sketches allow a link."""
+def members_of(lists: DataFrame) -> DataFrame:
+    """gid, part, node, size for every member of the lists."""
     schema = pa.schema([("gid", pa.int64()), ("part", pa.int64()), ("node", pa.int64()), ("size", pa.int64())])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,11 +389,23 @@ def across(lists: DataFrame, labels: DataFrame, classes: DataFrame, width: int)
 
     # lists with equal members and flags come from several tasks; those in parts belong together by gid
     once = lists.dropDuplicates(["gid", "part"])
-    member = once.select("gid", "part", "nodes", "sizes").mapInArrow(merged(spread, schema, 20000), "gid long, part long, node long, size long")
+    return once.select("gid", "part", "nodes", "sizes").mapInArrow(merged(spread, schema, 20000), "gid long, part long, node long, size long")
+
+
+def mixed_members(member: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of lists with more than one component, with their component and the parts of their list."""
     named = stored(member.join(labels, "node", "left").select("gid", "part", "node", "size", F.coalesce("component", "node").alias("component")), "members")
     mixed = named.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.collect_set("part").alias("parts")).filter("lo < hi").select("gid", "parts")
+    return stored(named.join(mixed, "gid"), "mixed")
+
+
+def across(mixed: DataFrame, classes: DataFrame, width: int, forest: bool) -> DataFrame:
+    """The pairs (a, b) of members of one list that are in different components and whose sizes, prefixes and sketches allow a link.
+
+    With forest only those of them that would join components which the list's pairs before them leave apart.
+    """
     blocks = F.transform("parts", lambda p: F.struct(F.least(p, F.col("part")).alias("p"), F.greatest(p, F.col("part")).alias("q")))
-    dealt = named.join(mixed, "gid").select("gid", F.explode(blocks).alias("block"), "part", "node", "size", "component").select("gid", "block.p", "block.q", F.xxhash64("gid", "block.p", "block.q").alias("key"), "part", "node", "size", "component")
+    dealt = mixed.select("gid", F.explode(blocks).alias("block"), "part", "node", "size", "component").select("gid", "block.p", "block.q", F.xxhash64("gid", "block.p", "block.q").alias("key"), "part", "node", "size", "component")
     dealt = dealt.join(classes.select("node", "sketch"), "node")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -404,12 +418,23 @@ def across(lists: DataFrame, labels: DataFrame, classes: DataFrame, width: int)
             low = n[:, None] <= m[None, :]
             allowed = (component[left][:, None] != component[right][None, :]) & (4 * np.minimum(n[:, None], m[None, :]) >= 3 * np.maximum(n[:, None], m[None, :]))
             allowed &= np.where(low, (size[left] & 1).astype(bool)[:, None], (size[right] & 1).astype(bool)[None, :]) | ((n[:, None] == m[None, :]) & (size[right] & 1).astype(bool)[None, :])
-            i, j = np.nonzero(allowed)
             raw = group.column("sketch").to_pylist()
-            open_ = np.fromiter((may_link(raw[x], size[x] >> 1, raw[y], size[y] >> 1) for x, y in zip(left[i].tolist(), right[j].tolist(), strict=True)), bool, len(i))
-            i, j = i[open_], j[open_]
-            a, b = node[left[i]], node[right[j]]
-            pairs = np.unique(np.column_stack([np.maximum(a, b), np.minimum(a, b)]), axis=0) if len(i) else np.zeros((0, 2), np.int64)
+            open_ = lambda x, y: may_link(raw[x], size[x] >> 1, raw[y], size[y] >> 1)  # noqa: B023, E731
+            if forest:
+                joined, i, j = component.copy(), [], []
+                for r, x in enumerate(left.tolist()):
+                    for y in right[allowed[r] & (joined[right] != joined[x])].tolist():
+                        if joined[y] != joined[x] and open_(x, y):
+                            joined[joined == joined[y]] = joined[x]
+                            i.append(x)
+                            j.append(y)
+                a, b = node[np.array(i, np.int64)], node[np.array(j, np.int64)]
+            else:
+                i, j = np.nonzero(allowed)
+                i, j = left[i], right[j]
+                hit = np.fromiter(map(open_, i.tolist(), j.tolist()), bool, len(i))
+                a, b = node[i[hit]], node[j[hit]]
+            pairs = np.unique(np.column_stack([np.maximum(a, b), np.minimum(a, b)]), axis=0) if len(a) else np.zeros((0, 2), np.int64)
             yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=out)
 
     found = dealt.repartition(width, "key").sortWithinPartitions("key").mapInArrow(merged(cross, out), "a long, b long")
@@ -437,9 +462,12 @@ def join_documents(docs: DataFrame) -> DataFrame:
     open_stars = stored(plausible(stars, classes).distinct(), "stars")
     near = stored(verified(open_stars, docs, classes, order, width), "links")
     labels = stored(components(near), "labels")
-    rest = stored(across(found.filter("kind = 1"), labels, classes, width), "across")
-    more = verified(rest, docs, classes, order, width)
-    labels = stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "labels")
+    member = members_of(found.filter("kind = 1"))
+    for forest in (True, False):
+        member = mixed_members(member.select("gid", "part", "node", "size"), labels)
+        rest = stored(across(member, classes, width, forest), "across")
+        more = verified(rest, docs, classes, order, width)
+        labels = stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "labels")
     named = classes.join(labels, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_node = named.join(least, "component").select("node", "component_id")
