@@ -6,8 +6,8 @@ probability and every training count is used.
 
 Training and scoring are one shuffle: every token goes, with its two predecessors and the number of its document, to the
 shard of its middle word. A shard sees all training tokens of its contexts, builds its trie, scores the tokens it was sent
-and returns sums per document. Frequent middle words are split over more shards by the first word, and those shards get the
-word's bigram counts besides. Words outside the vocabulary are counted and looked up in shards by their hash.
+and returns sums per document. Frequent middle words are split over more shards by the first word; a pass before sums the
+bigrams of those words, and the shards get the sums besides. Words outside the vocabulary are counted and looked up in shards by their hash.
 
 A trie has three levels. Sorted ids are made monotone by range offsets and kept with their pointers as Elias-Fano sequences
 in one memory-mapped file; a successor in the third level is its position among the successors of the shorter context;
@@ -38,6 +38,8 @@ DISCOUNT = 0.75
 STEPS, LARGEST = 200, 4095
 #: Tokens of one shard.
 PER_SHARD = 500_000
+#: Lists that the successors of a split word are summed in.
+LISTS = 16
 BITS = 18
 START, END, OTHER, FIRST = 0, 1, 2, 3
 #: Marks the hash of a word that has no id.
@@ -321,6 +323,67 @@ def restored(raw: bytes, plain: zstandard.ZstdDecompressor) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).reshape(-1).view(np.int64))
 
 
+ONE, PAIRS, NGRAMS, WORDS = 0, 1, 2, 3
+MESSAGE = pa.schema([("pid", pa.int64()), ("batch", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("slots", pa.binary()), ("more", pa.binary())])
+MESSAGE_DDL = "pid long, batch long, kind int, keys binary, slots binary, more binary"
+
+
+def _hot_pairs(rows: DataFrame, shared, width: int, homes: int) -> DataFrame:
+    """Messages with the summed training bigrams of every middle word that is split, for each shard it is split over.
+
+    Bigrams are summed before they are copied: a word has VOCABULARY successors at most, so what is sent grows as the
+    number of shards does.
+    """
+    word = (1 << BITS) - 1
+    packed = pa.schema([("home", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v: Vocabulary = shared.value
+        words, split, press, held = WordIds(v.ids), v.parts() > 1, zstandard.ZstdCompressor(level=1), []
+
+        def out() -> pa.RecordBatch:
+            pair, n = _added([k for k, _ in held], [c for _, c in held])
+            home = (mix((pair >> BITS).astype(np.uint64) * np.uint64(LISTS) + mix((pair & word).astype(np.uint64)) % np.uint64(LISTS)) % np.uint64(homes)).astype(np.int64)
+            by = np.lexsort((pair, home))
+            runs = list(_runs(home[by]))
+            return pa.record_batch([pa.array([int(home[by[a]]) for a, _ in runs], pa.int64()), pa.array([squeezed(pair[by[a:b]], press) for a, b in runs], pa.binary()), pa.array([press.compress(n[by[a:b]].tobytes()) for a, b in runs], pa.binary())], schema=packed)
+
+        for part, raw in slices(batches):
+            train = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            tokens, lengths = tokens_of([t for t, x in zip(raw, train, strict=True) if x], words)
+            code = np.where(tokens >= RARE, OTHER, tokens)
+            w2 = np.r_[START, code[:-1]][: len(code)]
+            w2[np.cumsum(lengths) - lengths] = START
+            hot = split[w2]
+            if hot.any():
+                held.append(np.unique((w2[hot] << BITS) | code[hot], return_counts=True))
+            if sum(len(k) for k, _ in held) > 2_000_000:
+                yield out()
+                held.clear()
+        if held:
+            yield out()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, press, plain = shared.value.parts(), zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        for _, group in groups_of(batches, "home"):
+            pair, n = _added([restored(x, plain) for x in group.column("keys").to_pylist()], [np.frombuffer(plain.decompress(x), np.int64) for x in group.column("counts").to_pylist()])
+            for a, b in _runs(pair >> BITS):
+                w2 = int(pair[a] >> BITS)
+                where = np.unique(mix(np.uint64(w2) * np.uint64(1 << 20) + np.arange(parts[w2], dtype=np.uint64)) % np.uint64(width)).astype(np.int64)
+                keys, counts = squeezed(pair[a:b], press), press.compress(n[a:b].tobytes())
+                for at in range(0, len(where), 256):
+                    k = len(where[at : at + 256])
+                    yield pa.record_batch([pa.array(where[at : at + 256]), pa.array([0] * k, pa.int64()), pa.array([PAIRS] * k, pa.int32()), pa.array([keys] * k, pa.binary()), pa.array([counts] * k, pa.binary()), pa.array([b""] * k, pa.binary())], schema=MESSAGE)
+
+    return rows.mapInArrow(local, "home long, keys binary, counts binary").repartition(homes, "home").sortWithinPartitions("home").mapInArrow(merge, MESSAGE_DDL)
+
+
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their counts."""
+    key, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(back, np.concatenate(counts), len(key)).astype(np.int64)
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs (doc_id, text).
 
@@ -334,9 +397,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     known = _count_words(rows, base_width)
     width = shuffle_width(spark, known.train * 7 / 6, PER_SHARD)
     shared = spark.sparkContext.broadcast(known)
-    ONE, PAIRS, NGRAMS, WORDS = 0, 1, 2, 3
-    message = pa.schema([("pid", pa.int64()), ("batch", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("slots", pa.binary()), ("more", pa.binary())])
-    names = "pid long, batch long, kind int, keys binary, slots binary, more binary"
+    message, names = MESSAGE, MESSAGE_DDL
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = shared.value
@@ -366,13 +427,6 @@ def score_texts(docs: DataFrame) -> DataFrame:
             for a, b in _runs(pid[by]):
                 some = by[a:b]
                 out.append((int(pid[some[0]]), batch, NGRAMS, squeezed(key[some], press), press.compress(np.ascontiguousarray(slot[some].view(np.uint8).reshape(-1, 2).T).tobytes()), b""))
-            hot = (parts[w2] > 1) & train[doc]
-            if hot.any():
-                pairs, n = np.unique((w2[hot] << BITS) | code[hot], return_counts=True)
-                for a, b in _runs(pairs >> BITS):
-                    word = int(pairs[a] >> BITS)
-                    where = np.unique(mix(np.uint64(word) * np.uint64(1 << 20) + np.arange(parts[word], dtype=np.uint64)) % np.uint64(width))
-                    out += [(int(p), batch, PAIRS, squeezed(pairs[a:b], press), n[a:b].astype(np.int64).tobytes(), b"") for p in where]
             if rare.any():
                 codes, slots = tokens[rare], slot[rare]
                 pid = (mix(codes.astype(np.uint64)) % np.uint64(width)).astype(np.int64)
@@ -403,7 +457,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 whole = parts[pair >> BITS] == 1
                 given = [restored(x[1], plain) for x in mine[PAIRS]]
                 bi, place = np.unique(np.concatenate([pair[whole], *given]), return_inverse=True)
-                bi_n = np.bincount(place, np.concatenate([tri_n[whole], *(np.frombuffer(x[2], np.int64) for x in mine[PAIRS])]), len(bi)).astype(np.int64)
+                bi_n = np.bincount(place, np.concatenate([tri_n[whole], *(np.frombuffer(plain.decompress(x[2]), np.int64) for x in mine[PAIRS])]), len(bi)).astype(np.int64)
                 word = (1 << BITS) - 1
                 score = Trie(tri, tri_n, bi, bi_n, v.p1).score((asked >> BITS) & word, asked >> (2 * BITS), asked & word)[back]
                 at = 0
@@ -443,7 +497,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
                         n_known[at] += np.frombuffer(more, np.float64, len(at), 8 * len(at)).astype(np.int64)
             yield pa.record_batch([pa.array(np.frombuffer(ids, np.int64, k), mask=~valid), pa.array(~train), pa.array(np.frombuffer(lengths, np.int64, k)), pa.array(n_known), pa.array(np.full(k, total)), pa.array(base), pa.array(score)], schema=result)
 
-    sent = rows.mapInArrow(send, names).repartition(width, "pid").sortWithinPartitions("pid", "batch", "kind")
+    pairs = _hot_pairs(rows, shared, width, shuffle_width(spark, known.train, 8 * PER_SHARD))
+    sent = rows.mapInArrow(send, names).unionByName(pairs).repartition(width, "pid").sortWithinPartitions("pid", "batch", "kind")
     back = sent.mapInArrow(answer, names).repartition(width, "batch").sortWithinPartitions("batch", "kind", "pid")
     return back.mapInArrow(gather, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
