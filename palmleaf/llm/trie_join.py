@@ -107,7 +107,7 @@ class Order:
         self.keys, self.place = keys[by_key], np.empty(len(keys), np.int64)
         self.place[rank] = np.arange(len(keys))
         self.place = self.place[by_key]
-        self.counts = counts[rank]
+        self.dealt = -(-counts[rank] // PART)
 
     def ordered(self, codes: np.ndarray) -> np.ndarray:
         if not len(self.keys) or not len(codes):
@@ -123,7 +123,7 @@ class Order:
         out = np.ones(len(keys), np.int64)
         heavy = keys >= TOP
         if heavy.any():
-            out[heavy] = -(-self.counts[keys[heavy] - TOP] // PART)
+            out[heavy] = self.dealt[keys[heavy] - TOP]
         return out
 
 
@@ -263,10 +263,10 @@ def prefix_lists(docs: DataFrame, order, width: int) -> DataFrame:
             if salted.any():
                 at = starts[salted]
                 yield rows(2, len(at), gid=key[at], a=node[at], b=size[at].astype(np.int64))
-            # lists with the same members and flags are kept once
+            # lists with the same members and flags are kept once; one dealt over parts is always kept
             sign = np.add.reduceat(mix(node.astype(np.uint64) * np.uint64(2) + (size & 1).astype(np.uint64)), starts).astype(np.int64) if len(starts) else starts
-            keep = np.zeros(len(starts), bool)
-            keep[np.unique(np.where(salted, key[starts] ^ salt[starts], sign), return_index=True)[1]] = True
+            keep, whole = salted.copy(), np.flatnonzero(~salted)
+            keep[whole[np.unique(sign[whole], return_index=True)[1]]] = True
             for i in np.flatnonzero(useful & keep).tolist():
                 a, b = int(starts[i]), int(starts[i] + counts[i])
                 gid = int(key[a]) if salted[i] else int(sign[i])

@@ -90,6 +90,26 @@ def test_trie_join_equals_all_pairs(spark, odd, monkeypatch):
     assert trie_join.join_documents(empty(spark)).count() == 0
 
 
+def test_lists_in_parts_are_all_kept(spark, monkeypatch):
+    monkeypatch.setattr(trie_join, "PART", 4)
+    monkeypatch.setattr(trie_join, "LEAST_FREQUENT", 4)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(40)]
+    texts = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(9)}"
+        texts.append((i, " ".join(w)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(1)
+    order = spark.sparkContext.broadcast(trie_join.frequent_order(trie_join.profiles(docs)))
+    found = trie_join.prefix_lists(docs, order, 4).filter("kind > 0").collect()
+    dealt = {(r["gid"], r["a"]) for r in found if r["kind"] == 2}
+    lists = {(r["gid"], np.frombuffer(r["nodes"], np.int64)[0]) for r in found if r["kind"] == 1 and r["part"] % 4096 == 0}
+    assert len(dealt) > 50 and dealt <= lists
+    assert sorted((str(r[0]), r[1], str(r[2])) for r in trie_join.join_documents(docs).collect()) == brute_components(texts)
+
+
 def test_set_trie_equals_jaccard():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 30, rng.integers(1, 25))) for _ in range(200)]
