@@ -1,3 +1,4 @@
+import base64
 import collections
 import hashlib
 import math
@@ -199,6 +200,24 @@ def test_bands(spark, odd):
     assert zstd_bands.repeated_words(words) == want
 
 
+@pytest.mark.parametrize("size", [1800, 3000, 9000, 60000])
+def test_encoded_text_is_outside_the_bands(spark, size):
+    rng = random.Random(size)
+    lines = lambda s: "\n".join(s[i : i + 76] for i in range(0, len(s), 76))
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    docs = [lines(base64.b64encode(rng.randbytes(size * 3 // 4)).decode()), " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(3, 10))) for _ in range(size // 7)), lines(rng.randbytes(size // 2).hex())]
+    kept = {r["doc_id"]: (r["kept"], r["base_failed"]) for r in zstd_bands.compression_bands(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
+    assert kept[0] == kept[1] == (False, False)
+    assert size < 4096 or kept[2] == (False, False)  # shorter hex is as dense as prose
+
+
+def test_bands_keep_good_prose(spark, sf):
+    sf = sf.replace("0.001", "0.01")
+    good = spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1").select("doc_id")
+    rows = zstd_bands.compression_bands(spark.read.parquet(f"{sf}/documents.parquet").join(good, "doc_id")).filter("NOT base_failed").collect()
+    assert len(rows) > 50 and all(r["kept"] for r in rows)
+
+
 def distance(pattern, text):
     row = [0] * (len(text) + 1)
     for i, a in enumerate(pattern, 1):
