@@ -284,6 +284,13 @@ def test_lines_chat_and_fixity_edges(spark, odd):
     assert sorted((r["page_id"], r["status"]) for r in warc_fixity.audit_pages(pages, other).collect()) == [(1, "corrupt"), (40, "missing"), (70000, "surplus")]
 
 
+def test_lines_stage_drops_the_common_line_of_a_source(spark, sf):
+    texts = {i: [f"own {i}", *["common line"] * (i % 10 == 0), *["some line"] * (i % 25 == 0), f"end {i}"] for i in range(200)}
+    docs = spark.createDataFrame([(i, "\n".join(x), "en", "s", 0) for i, x in texts.items()], SCHEMA)
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, sf).collect()}
+    assert got == {i: "\n".join(y for y in x if y != "common line") for i, x in texts.items()}
+
+
 def test_stages_keep_columns(spark, sf):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "decontaminate", "mixture"]
     docs = spark.read.parquet(f"{sf}/documents.parquet")
