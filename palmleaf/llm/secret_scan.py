@@ -47,7 +47,7 @@ def default_samples(n: int = 4000, seed: int = 7) -> list[tuple[str, int]]:
     """Labelled strings: 1 for random ones over several alphabets, 0 for identifiers put together from parts."""
     rng, out = random.Random(seed), []
     for i in range(n):
-        kind = (ALPHABET[:62], ALPHABET[:64], ALPHABET[26:62], ALPHABET[:36], "0123456789abcdef")[i % 5]
+        kind = (ALPHABET[:62], ALPHABET[:64], ALPHABET[26:62], ALPHABET[:36], "0123456789abcdef", ALPHABET[:26], ALPHABET[26:52])[i % 7]
         out.append(("".join(rng.choice(kind) for _ in range(rng.randint(20, 64))), 1))
         words = [rng.choice(PARTS) for _ in range(rng.randint(3, 7))]
         style = i % 5
@@ -91,11 +91,7 @@ def markov_spans(text: str, models: MarkovPair, margin: float, taken: list[tuple
     out = []
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        run = m.group()
-        # a run of letters of one case has no digit, sign or change of case: not a generated key
-        if run.isalpha() and (run.islower() or run.isupper() or run.istitle()):
-            continue
-        if models.score(run) >= margin and not any(s < b and a < e for s, _, e in taken):
+        if models.score(m.group()) >= margin and not any(s < b and a < e for s, _, e in taken):
             out.append((a, 3, b))
     return out
 

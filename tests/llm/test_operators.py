@@ -187,6 +187,14 @@ def test_secrets_equal_plain_regexes(spark, odd):
     assert rows[1]["spans"] == "" and rows[1]["base_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def test_random_letters_of_one_case_are_secrets():
+    rng, models = random.Random(3), secret_scan.MarkovPair(secret_scan.default_samples())
+    found = lambda x: bool(secret_scan.markov_spans(x, models, 0.35, []))
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        assert sum(found("".join(rng.choice(letters) for _ in range(40))) for _ in range(200)) >= 190
+    assert not any(map(found, ("internationalization", "INTERNATIONALIZATION", "counterrevolutionaries", "anticonstitutionnellement")))
+
+
 def test_bands(spark, odd):
     rng = random.Random(2)
     good = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(400))
