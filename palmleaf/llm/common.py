@@ -8,7 +8,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,21 +70,6 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             start = stop
 
 
-class WordCodes(dict):
-    """Word bytes to a 63-bit hash, remembered for a bounded number of words."""
-
-    LIMIT = 1 << 19
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        self[word] = code = xxhash.xxh3_64_intdigest(word) >> 1
-        return code
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser over uint64 arrays."""
     x = x ^ (x >> np.uint64(31))
@@ -95,6 +79,65 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+SEPARATOR = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+#: A random number for each byte, the same for letters of both cases and 0 for separators; and an odd base.
+BYTE = np.random.default_rng(12).integers(1, 1 << 63, 256, np.uint64)
+BYTE[ord("A") : ord("Z") + 1] = BYTE[ord("a") : ord("z") + 1]
+BYTE[SEPARATOR] = 0
+BASE = 0x9E3779B97F4A7C15
+PIECE = 1 << 20
+_powers: dict[bool, np.ndarray] = {}
+
+
+def _powers_of_base(n: int, inverse: bool) -> np.ndarray:
+    """The first powers of BASE or of its inverse, modulo 2 ** 64; kept for pieces of the usual size."""
+    held = _powers.get(inverse)
+    if held is None or len(held) < n:
+        held = np.full(n, pow(BASE, -1 if inverse else 1, 1 << 64), np.uint64)
+        held[:1] = 1
+        held = np.multiply.accumulate(held)
+        if n <= PIECE or inverse not in _powers:
+            _powers[inverse] = held
+    return held[:n]
+
+
+def _piece_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words of bytes that end with a separator: polynomials of BASE by one prefix sum."""
+    inside = ~SEPARATOR[raw]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if inside[0]:
+        edges = np.r_[0, edges]
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.cumsum(BYTE[raw] * _powers_of_base(len(raw), False))
+    before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
+    return starts, mix((sums[ends - 1] - before) * _powers_of_base(len(raw), True)[starts]) >> np.uint64(2)
+
+
+def hashed_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """62-bit hashes of the lower-cased (A-Z) words of all texts, one after the other, and the number of words of each text.
+
+    Equal to split(), text by text, but without an object for each word; texts are worked through in pieces cut at separators.
+    """
+    sizes = np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts))
+    raw = np.frombuffer(b" ".join([*(t or b"" for t in texts), b""]), np.uint8)
+    starts, hashes, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    while at < len(raw):
+        stop = min(at + PIECE, len(raw))
+        if stop < len(raw) and not SEPARATOR[raw[stop - 1]]:
+            back = np.flatnonzero(SEPARATOR[raw[max(at, stop - 4096) : stop]])
+            if len(back):
+                stop = max(at, stop - 4096) + int(back[-1]) + 1
+            while not SEPARATOR[raw[stop - 1]]:  # a word longer than what was looked at
+                ahead = np.flatnonzero(SEPARATOR[raw[stop : stop + PIECE]])
+                stop = stop + int(ahead[0]) + 1 if len(ahead) else min(stop + PIECE, len(raw))
+        some, made = _piece_hashes(raw[at:stop])
+        starts.append(some + at)
+        hashes.append(made)
+        at = stop
+    bounds = np.searchsorted(np.concatenate(starts), np.r_[0, np.cumsum(sizes)])
+    return np.concatenate(hashes).astype(np.int64), np.diff(bounds)
+
+
 def groups_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, pa.Table]]:
     """Runs of equal keys in batches that are sorted by key; only one run is held."""
     held: list[pa.RecordBatch] = []

@@ -31,16 +31,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups_of, id_remainder, mix, shuffle_width, slices, stored
+from .common import groups_of, hashed_words, id_remainder, mix, shuffle_width, slices, stored
 
 #: Words with a short id, a bound on what is broadcast. It changes the size of messages and no score.
-VOCABULARY = 1 << 17
+VOCABULARY = (1 << 18) - 2
 DISCOUNT = 0.75
 #: Steps of one unit of a base-10 logarithm, and the largest code.
 STEPS, LARGEST = 200, 4095
@@ -159,11 +158,9 @@ class EliasFano:
         if not self.n or not len(values):
             return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
         beyond = (values >> self.width) >= self.zeros
-        high = np.minimum(values >> self.width, self.zeros - 1)
-        some = np.unique(np.concatenate([high, np.maximum(high - 1, 0)]))
-        upto = self.below(some)
-        stop = upto[np.searchsorted(some, high)]
-        a = np.where(high > 0, upto[np.searchsorted(some, np.maximum(high - 1, 0))], 0)
+        high, back = compact(np.minimum(values >> self.width, self.zeros - 1))
+        stop = self.below(high)[back]
+        a = np.where(high > 0, self.below(np.maximum(high - 1, 0)), 0)[back]
         z, want = stop.copy(), values & ((1 << self.width) - 1)
         active = np.flatnonzero((a < z) & ~beyond)
         while len(active):
@@ -192,6 +189,10 @@ def _segments(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> tuple
     return bounds, np.diff(np.r_[0, np.cumsum(counts)].astype(np.int64)[bounds])
 
 
+def _united(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
+    return compact(np.sort(np.r_[keys, more], kind="stable"))[0] if len(more) else keys
+
+
 def _widths(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """One more than the last value of each range, 0 for an empty one."""
     if not len(values):
@@ -199,6 +200,12 @@ def _widths(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(bounds[1:] > bounds[:-1], values[np.maximum(bounds[1:] - 1, 0)] + 1, 0)
 
 
+def compact(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first value of each run of equal ones, and for each value the place of its run."""
+    starts = starts_of(values)
+    return values[starts], np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(values)]))
+
+
 class Trie:
     """The trigrams of some middle words. Sibling ranges are made monotone by adding an offset for each range."""
 
@@ -213,7 +220,7 @@ class Trie:
         sums2 = np.zeros((0, 2), np.int64) if sums2 is None else sums2
         keys12, given_c12, given_n12 = (np.zeros(0, np.int64),) * 3 if sums12 is None else sums12
         # bigrams
-        w2 = np.union1d(bi >> b3, np.flatnonzero(sums2[:, 0]))
+        w2 = _united(compact(bi >> b3)[0], np.flatnonzero(sums2[:, 0]))
         s2, c2 = _segments(bi >> b3, bi_n, w2)
         own2 = np.diff(s2)
         n2 = own2
@@ -224,7 +231,7 @@ class Trie:
         p2 = (bi_n - DISCOUNT) / c2[of2] + weight2[of2] * p1[w3]
         off2 = np.r_[0, np.cumsum(_widths(w3, s2))]
         # contexts (w2, w1) and trigrams
-        ctx = np.union1d(tri >> b3, keys12)
+        ctx = _united(compact(tri >> b3)[0], keys12)
         s12, c12 = _segments(tri >> b3, tri_n, ctx)
         own12 = np.diff(s12)
         n12, at = own12.copy(), np.searchsorted(ctx, keys12)
@@ -251,7 +258,7 @@ class Trie:
         """Index and presence of value in the range of parent, where the parent is there."""
         at, found = np.zeros(len(value), np.int64), np.zeros(len(value), bool)
         live = np.flatnonzero(there)
-        some, back = np.unique(parent[live], return_inverse=True)
+        some, back = compact(parent[live])
         base, end = offsets.get(some)[back], offsets.get(some + 1)[back]
         inside = value[live] < end - base
         live, base = live[inside], base[inside]
@@ -259,11 +266,15 @@ class Trie:
         return at, found
 
     def score(self, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes a and b of each w3 after w1, w2: the probability is that of a where there is one, which holds the share of w3 if
+        """Codes a and b of each w3 after w1, w2 (sorted by w2, w1, w3 at best): the probability is that of a where there is one, which holds the share of w3 if
         p1 had it, and b is the weight of that share."""
-        some, back = np.unique(w2, return_inverse=True)
+        some, back = compact(w2)
         top, seen = (x[back] for x in self.w2.find(some))
-        pair, has_pair = self.child(self.bi, self.off2, top, seen, w3)
+        wide = int(w3.max()) + 1 if len(w3) else 1
+        some, back = np.unique(w2 * wide + w3, return_inverse=True)
+        first = np.zeros(len(some), np.int64)
+        first[back] = np.arange(len(w3))
+        pair, has_pair = (x[back] for x in self.child(self.bi, self.off2, top[first], seen[first], w3[first]))
         context, has_context = self.child(self.ctx, self.off_ctx, top, seen, w1)
         a, b = np.full(len(w3), NONE, np.int64), np.zeros(len(w3), np.int64)
         b[seen] += self.b2[top[seen]]
@@ -272,7 +283,7 @@ class Trie:
         short = has_pair & has_context
         rel = np.zeros(len(w3), np.int64)
         if short.any():
-            some, back = np.unique(top[short], return_inverse=True)
+            some, back = compact(top[short])
             rel[short] = pair[short] - self.start2.get(some)[back]
         full, has_full = self.child(self.tri, self.off3, context, short, rel)
         short &= ~has_full
@@ -284,30 +295,42 @@ class Trie:
 # ---- words ------------------------------------------------------------------------------------------------------------
 
 
-class WordIds(dict):
-    """Word bytes to an id, or to RARE | hash for a word that has none; remembered for a bounded number of words."""
-
-    LIMIT = 1 << 18
-
-    def __init__(self, ids: dict[int, int] | None = None):
-        self.ids = ids or {}
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        code = xxhash.xxh3_64_intdigest(word) >> 2
-        self[word] = code = self.ids.get(code, code | RARE)
-        return code
+class WordIds:
+    """Hashes of words to ids, or to RARE | hash for a word that has none, by open addressing for whole arrays."""
+
+    def __init__(self, hashes: np.ndarray | None = None):
+        """hashes: of the words with ids, which count from FIRST."""
+        hashes = np.zeros(0, np.int64) if hashes is None else hashes
+        self.mask = (1 << max(4, (4 * len(hashes)).bit_length())) - 1
+        self.keys, self.ids = np.full(self.mask + 1, -1, np.int64), np.zeros(self.mask + 1, np.int32)
+        left, at = np.arange(len(hashes)), hashes & self.mask
+        while len(left):
+            free = self.keys[at] < 0
+            self.ids[at[free]] = left[free] + FIRST
+            self.keys[at[free]] = hashes[left[free]]  # the last of those that want a place has it
+            put = self.keys[at] == hashes[left]
+            self.ids[at[put]] = left[put] + FIRST
+            left, at = left[~put], (at[~put] + 1) & self.mask
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        out, at, left = hashes | RARE, hashes & self.mask, np.arange(len(hashes))
+        while len(left):
+            key = self.keys[at]
+            hit = key == hashes[left]
+            out[left[hit]] = self.ids[at[hit]]
+            more = ~hit & (key >= 0)
+            left, at = left[more], (at[more] + 1) & self.mask
+        return out
 
 
 def tokens_of(texts: list[bytes | None], words: WordIds) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the words of all texts, each text followed by END; and the number of tokens of each."""
-    split = [(t or b"").lower().split() for t in texts]
-    lengths = np.fromiter((len(w) + 1 for w in split), np.int64, len(split))
-    out, ends = np.full(int(lengths.sum()), END, np.int64), np.cumsum(lengths) - 1
+    hashes, lengths = hashed_words(texts)
+    lengths = lengths + 1
+    out = np.full(len(hashes) + len(texts), END, np.int64)
     mask = np.ones(len(out), bool)
-    mask[ends] = False
-    out[mask] = np.fromiter((words[w] for ws in split for w in ws), np.int64, len(out) - len(split))
+    mask[np.cumsum(lengths) - 1] = False
+    out[mask] = words.of(hashes)
     return out, lengths
 
 
@@ -325,7 +348,7 @@ class Vocabulary:
     """What every task knows: ids and training counts of frequent words, and the totals."""
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray, texts: int, words: int, distinct: int, per_shard: int):
-        self.ids = {int(c): i + FIRST for i, c in enumerate(codes)}
+        self.hashes = codes
         self.count = np.r_[texts, texts, counts].astype(np.int64)
         self.train, self.distinct = words + texts, distinct + (texts > 0)
         self.p1 = self.share(self.count)
@@ -380,8 +403,10 @@ def _runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def _distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct rows and, for each row, the place of its own."""
-    rank = np.zeros(len(columns[0]), np.int64)
-    for c in columns:
+    rank = columns[0]
+    if len(rank) and int(rank.max()) >= 1 << 20:
+        rank = np.unique(rank, return_inverse=True)[1]
+    for c in columns[1:]:
         some, at = np.unique(c, return_inverse=True)
         rank = np.unique(rank * len(some) + at, return_inverse=True)[1]
     first = np.zeros(int(rank.max()) + 1 if len(rank) else 0, np.int64)
@@ -481,7 +506,7 @@ def _ahead(rows: DataFrame, shared, width: int, homes: int) -> DataFrame:
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = shared.value
-        words, press = WordIds(v.ids), zstandard.ZstdCompressor(level=1)
+        words, press = WordIds(v.hashes), zstandard.ZstdCompressor(level=1)
         held: dict[int, list] = {PAIRS: [], CONTEXTS: []}
 
         def out(kind: int) -> Iterator[pa.RecordBatch]:
@@ -570,7 +595,7 @@ def score_texts(docs: DataFrame, per_shard: int = PER_SHARD, vocabulary: int = V
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = shared.value
-        words, press, number = WordIds(v.ids), zstandard.ZstdCompressor(level=1), 0
+        words, press, number = WordIds(v.hashes), zstandard.ZstdCompressor(level=1), 0
         task = TaskContext.get().partitionId()
         base_of = np.log10(v.p1)
         base_of[END] = np.log10(v.share(v.count[END : END + 1]))[0]
@@ -590,8 +615,9 @@ def score_texts(docs: DataFrame, per_shard: int = PER_SHARD, vocabulary: int = V
             mixed = rare | (w1 >= RARE) | (w2 >= RARE)
             plain = np.flatnonzero(~mixed)
             key = (w2[plain] << (2 * BITS)) | (w1[plain] << BITS) | code[plain]
-            home = pid[plain]
-            by = np.lexsort((key, home))
+            by = np.argsort(key)
+            home = pid[plain].astype(np.uint16 if width < 1 << 16 else np.int64)
+            by = by[np.argsort(home[by], kind="stable")]
             for a, b in _runs(home[by]):
                 some = by[a:b]
                 out.append((int(home[some[0]]), batch, NGRAMS, squeezed(key[some], press), planes([slot[plain[some]]], press), None))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCodes, groups_of, mix, shuffle_width, slices, stored
+from .common import groups_of, hashed_words, mix, shuffle_width, slices, stored
 from .components import components
 
 SHINGLE = 5
@@ -43,11 +43,10 @@ PER_TASK = 600_000
 TOP = np.int64(1 << 62)
 
 
-def shingle_sets(texts: list[bytes | None], codes: WordCodes) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles."""
-    split = [(t or b"").lower().split() for t in texts]
-    lengths = np.fromiter(map(len, split), np.int64, len(split))
-    flat = codes.of([w for ws in split for w in ws]).astype(np.uint64)
+    flat, lengths = hashed_words(texts)
+    flat = flat.astype(np.uint64)
     out: list[np.ndarray] = []
     rolled = np.zeros(max(len(flat) - SHINGLE + 1, 0), np.uint64)
     for j in range(SHINGLE):
@@ -174,9 +173,9 @@ def profiles(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("frequent", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("sketch", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, seen = WordCodes(), [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        seen = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         for rows, texts in slices(batches):
-            sets = shingle_sets(texts, codes)
+            sets = shingle_sets(texts)
             k = len(sets)
             yield pa.record_batch([pa.array([False] * k), rows.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([sketch_of(s) if len(s) else None for s in sets], pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], schema=schema)
             key, count = np.unique(np.concatenate(sets), return_counts=True) if k else (np.zeros(0, np.int64),) * 2
@@ -210,10 +209,10 @@ def prefix_lists(docs: DataFrame, order, width: int) -> DataFrame:
     """Pairs with leaders, and lists: kind 0 (gid: a task, nodes: a and b, sizes: their lists), kind 1 (gid, part, nodes, sizes), kind 2 (gid, a: a part's leader, b: its size)."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, done = WordCodes(), set()
+        done = set()
         for _, texts in slices(batches):
             keys, nodes, sizes = [], [], []
-            for s in shingle_sets(texts, codes):
+            for s in shingle_sets(texts):
                 if not len(s) or (node := class_of(s)) in done:
                     continue
                 done.add(node)
@@ -339,9 +338,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, width
     set_schema = pa.schema([("node", pa.int64()), ("codes", pa.binary())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
         for _, raw in slices(batches):
-            made = [s for s in shingle_sets(raw, codes) if len(s)]
+            made = [s for s in shingle_sets(raw) if len(s)]
             yield pa.record_batch([pa.array([class_of(s) for s in made], pa.int64()), pa.array([order.value.ordered(s).tobytes() for s in made], pa.binary())], schema=set_schema)
 
     held = stored(texts.mapInArrow(sets, "node long, codes binary"), "sets")

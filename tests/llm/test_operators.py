@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from palmleaf.llm import chat_pairs, decontam, ef_lm, gbdt_quality, line_dedup, mixing, queries, secret_scan, trie_join, warc_fixity, zstd_bands
+from palmleaf.llm import chat_pairs, common, decontam, ef_lm, gbdt_quality, line_dedup, mixing, queries, secret_scan, trie_join, warc_fixity, zstd_bands
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 EDGES = [(1, None), (2, ""), (3, "one two"), (None, "a b c d e f g"), (5, "a b c d e f g"), (5, "a b c d e f g"), (7, "é ü # | x\ny\ny\n " + "w " * 3000), (8, "ONE two")]
@@ -142,7 +142,7 @@ def test_trie_equals_the_smoothing_formula():
     bi = sorted((w2 << 18 | w3, n) for (w2, w3), n in pairs.items())
     p1 = np.full(12, 1 / 12)
     column = lambda rows, i: np.array([r[i] for r in rows], np.int64)
-    trie = ef_lm.Trie(column(keys, 0), column(keys, 1), column(bi, 0), column(bi, 1), p1)
+    trie = ef_lm.Trie(column(keys, 0), column(keys, 1), column(bi, 0), column(bi, 1), p1, (18, 18))
 
     def direct(w1, w2, w3):
         two = [n for (a, _), n in pairs.items() if a == w2]
@@ -151,29 +151,69 @@ def test_trie_equals_the_smoothing_formula():
         return (max(seen[w1, w2, w3] - d, 0) + d * len(three) * p) / sum(three) if three else p
 
     asked = [(rng.randrange(0, 10), rng.randrange(0, 10), rng.randrange(1, 12)) for _ in range(400)]
-    got = trie.score(*(column(asked, i) for i in range(3)))
-    assert np.abs(got - np.log10([direct(*a) for a in asked])).max() < 0.01
+    w1, w2, w3 = (column(asked, i) for i in range(3))
+    a, b = trie.score(w1, w2, w3)
+    got = -np.where(a == ef_lm.NONE, b + ef_lm.quantised(p1)[w3], a) / ef_lm.STEPS
+    assert np.abs(got - np.log10([direct(*x) for x in asked])).max() < 0.01
 
 
-@pytest.mark.parametrize("shard", [ef_lm.PER_SHARD, 2000])
-def test_language_model_equals_direct_count(spark, sf, odd, shard, monkeypatch):
-    monkeypatch.setattr(ef_lm, "PER_SHARD", shard)
+def direct_scores(rows, train):
+    """The interpolated model over plain dictionaries, for texts as lists of words with None as their end."""
+    d, c1 = ef_lm.DISCOUNT, collections.Counter(w for i, x in rows if train[i] for w in x)
+    bi, tri = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+    for i, x in rows:
+        before = ("", "")
+        for w in x if train[i] else ():
+            bi[before[1]][w] += 1
+            tri[before][w] += 1
+            before = before[1], w
+    out, total = {}, sum(c1.values()) + len(c1) + 1
+    for i, x in rows:
+        before, out[i] = ("", ""), 0.0
+        for w in x:
+            p = (c1[w] + 1) / total
+            for n in (bi.get(before[1]), tri.get(before)):
+                if n:
+                    p = (max(n[w] - d, 0) + d * len(n) * p) / sum(n.values())
+            out[i] += math.log10(p)
+            before = before[1], w
+    return out
+
+
+@pytest.mark.parametrize(("shard", "vocabulary", "grid"), [(ef_lm.PER_SHARD, ef_lm.VOCABULARY, 16), (400, 40, 2), (2000, 1, 16)])
+def test_language_model_equals_direct_count(spark, sf, odd, shard, vocabulary, grid, monkeypatch):
+    monkeypatch.setattr(ef_lm, "GRID", grid)  # with 2 the contexts of frequent words are dealt over shards, too
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60).select("doc_id", "text")
     rows = [(r[0], [*r[1].encode().lower().split(), None]) for r in docs.collect()]
     train = {i: zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows}
     c = collections.Counter(w for i, x in rows if train[i] for w in x)
     total, distinct = sum(c.values()), len(c)
-    got = {r["doc_id"]: r for r in ef_lm.score_texts(docs).collect()}
+    got = {r["doc_id"]: r for r in ef_lm.score_texts(docs, shard, vocabulary).collect()}
+    want = direct_scores(rows, train)
     for i, x in rows:
         r = got[i]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(x), sum(c[w] > 0 for w in x), total, not train[i])
         assert math.isclose(r["base_score"], sum(math.log10((c[w] + 1) / (total + distinct + 1)) for w in x), rel_tol=1e-9)
-        assert r["score"] < 0
+        assert abs(r["score"] - want[i]) <= 2.5 / ef_lm.STEPS * len(x)  # codes are rounded
     few = {str(r["doc_id"]): r["n_tokens"] for r in ef_lm.score_texts(odd).collect()}
     assert few["1"] == 1 and few["None"] == 8 and few["7"] == 3008
     assert ef_lm.score_texts(empty(spark)).count() == 0
 
 
+def test_hashed_words_equal_split(monkeypatch):
+    rng = random.Random(1)
+    for piece in (64, common.PIECE):
+        monkeypatch.setattr(common, "PIECE", piece)
+        for _ in range(100):
+            texts = [None if rng.random() < 0.1 else "".join(rng.choice("aAbB c\u00e9 \t\n\x0b\x0c\r\x1f\x85\xa0") for _ in range(rng.choice([0, 3, 40, 300]))).encode() for _ in range(rng.randrange(6))]
+            hashes, lengths = common.hashed_words(texts)
+            words = [w for t in texts for w in (t or b"").lower().split()]
+            assert lengths.tolist() == [len((t or b"").split()) for t in texts] and len(hashes) == len(words)
+            named = dict(zip(words, hashes.tolist(), strict=True))
+            assert all(named[w] == h for w, h in zip(words, hashes.tolist(), strict=True)) and len(set(named.values())) == len(named)
+    assert common.hashed_words([b"x" * 5_000_000 + b" y", None])[1].tolist() == [2, 0]
+
+
 def test_secrets_equal_plain_regexes(spark, odd):
     rng = random.Random(1)
     key = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghkmnpqrstuvwxyz23456789") for _ in range(40))
