@@ -44,7 +44,7 @@ DISCOUNT = 0.75
 #: Steps of one unit of a base-10 logarithm, and the largest code.
 STEPS, LARGEST = 200, 4095
 #: Tokens of one shard.
-PER_SHARD = 500_000
+PER_SHARD = 1_000_000
 #: Shards of a middle word from which on its columns are split, too.
 GRID = 16
 #: Bytes of text that one task of the word count gets the words of.
@@ -57,7 +57,7 @@ RARE = 1 << 62
 #: Stands for a probability that has no part of its own.
 NONE = 65535
 #: Distinct trigrams of one trie.
-CHUNK = 1_000_000
+CHUNK = 250_000
 COLUMN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -354,7 +354,7 @@ class Vocabulary:
         self.p1 = self.share(self.count)
         self.p1[START] = 1.0  # never predicted
         #: the grid of shards that a middle word is split over: its rows and columns
-        parts = np.maximum(1, -(-self.count // max(per_shard // 4, 1)))
+        parts = np.maximum(1, -(-self.count // max(per_shard // 8, 1)))
         self.columns = np.where(parts >= GRID, np.floor(np.sqrt(parts)), 1).astype(np.int64)
         self.rows = -(-parts // self.columns)
         self.split = parts > 1
@@ -589,7 +589,7 @@ def score_texts(docs: DataFrame, per_shard: int = PER_SHARD, vocabulary: int = V
     known = _count_words(rows, shuffle_width(spark, size, COUNT_BYTES), vocabulary, per_shard)
     width = shuffle_width(spark, known.train * 7 / 6, per_shard)
     shared = spark.sparkContext.broadcast(known)
-    ahead = _ahead(rows, shared, width, shuffle_width(spark, known.train, 8 * per_shard))
+    ahead = _ahead(rows, shared, width, shuffle_width(spark, known.train, 4 * per_shard))
     # one number for each split word, all of which have ids
     totals = spark.sparkContext.broadcast({r[0]: r[1] for r in ahead.filter(F.col("kind") == TOTAL).groupBy("pid").agg(F.sum("batch")).toLocalIterator()})
 
@@ -625,7 +625,10 @@ def score_texts(docs: DataFrame, per_shard: int = PER_SHARD, vocabulary: int = V
             mixed = mixed[np.lexsort((w2[mixed], pid[mixed]))]
             for a, b in _runs(pid[mixed]):
                 some = mixed[a:b]
-                out.append((int(pid[some[0]]), batch, MIXED, planes([w2[some], w1[some], code[some]], press), planes([slot[some]], press), None))
+                flat = np.concatenate([w2[some], w1[some], code[some]])
+                names, at = np.unique(flat[flat >= RARE], return_inverse=True)
+                flat[flat >= RARE] = at + (1 << BITS)
+                out.append((int(pid[some[0]]), batch, MIXED, planes(np.split(flat.astype(np.int32), 3), press), planes([slot[some]], press), squeezed(names, press)))
             yield from _batches(out, 4096)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -642,7 +645,7 @@ def score_texts(docs: DataFrame, per_shard: int = PER_SHARD, vocabulary: int = V
                 batch = np.repeat(np.array([x[0] for x in asked], np.int64), list(map(len, slots)))
                 slot = np.concatenate(slots)
                 packed = np.concatenate([restored(x[1], plain) for x in mine[NGRAMS]] or [np.zeros(0, np.int64)])
-                loose = [columns_of(x[1], plain, 3) for x in mine[MIXED]]
+                loose = [named(x, plain) for x in mine[MIXED]]
                 word = (1 << BITS) - 1
                 some, back = np.unique(packed, return_inverse=True)
                 cols, n = [some >> (2 * BITS), (some >> BITS) & word, some & word], np.bincount(back, slot[: len(packed)] & 1, len(some)).astype(np.int64)
@@ -732,6 +735,14 @@ def score_texts(docs: DataFrame, per_shard: int = PER_SHARD, vocabulary: int = V
     return back.mapInArrow(gather, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
+def named(message: tuple, plain: zstandard.ZstdDecompressor) -> list[np.ndarray]:
+    """The columns of a message whose words without ids are numbered in the order of its own list."""
+    names, flat = restored(message[3], plain), np.concatenate(columns_of(message[1], plain, 3, np.int32)).astype(np.int64)
+    own = flat >= 1 << BITS
+    flat[own] = names[flat[own] - (1 << BITS)]
+    return np.split(flat, 3)
+
+
 def _scored(v: Vocabulary, cols: list[np.ndarray], n: np.ndarray, given: dict[int, list[tuple]], totals: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Codes a and b of distinct trigrams (w2, w1, w3) with training counts n, by tries of CHUNK of them or of one middle word."""
     a, b = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
