@@ -30,17 +30,12 @@ def _mask(turns: Column) -> Column:
     return F.aggregate(turns, first, step, lambda s: F.array_join(s["spans"], ","))
 
 
-def format_preferences(turns: DataFrame) -> DataFrame:
-    """One row per pair of turns (pair_id, rejected boolean, turn, role, text; other columns are left behind).
+def _clean(turn: Column, role: Column, text: Column) -> Column:
+    return F.struct(turn.cast("long").alias("turn"), F.coalesce(role, F.lit("unknown")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
-    Turns are ordered by number, then role, then text, so ties and repeated rows have one order and stay. A null role is
-    "unknown", a null text empty, a null turn number comes first. Rows without a pair are in no result. A pair with one
-    side has an empty prompt and a null other completion. Two equal conversations are all prompt, with empty completions.
-    A pair becomes one row, so its conversations have to fit one task, as any rendered conversation has to.
-    """
-    clean = turns.filter("pair_id IS NOT NULL").select("pair_id", "rejected", F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
-    side = lambda other: F.array_sort(F.collect_list(F.when(F.col("rejected") == other, F.col("t"))))
-    pairs = clean.groupBy("pair_id").agg(side(F.lit(False)).alias("c"), side(F.lit(True)).alias("r"))
+
+def format_pairs(pairs: DataFrame) -> DataFrame:
+    """One row per row of pairs (pair_id, c, r: the turns of the chosen and the rejected conversation, in order)."""
     shorter = F.least(F.size("c"), F.size("r"))
     same = F.zip_with(F.slice("c", 1, shorter), F.slice("r", 1, shorter), lambda x, y: (x["role"] == y["role"]) & (x["text"] == y["text"]))
     pairs = pairs.withColumn("p", F.coalesce(F.nullif(F.array_position(same, F.lit(False)), F.lit(0)) - 1, shorter).cast("int"))
@@ -55,23 +50,45 @@ def format_preferences(turns: DataFrame) -> DataFrame:
     )
 
 
-def neighbours(conversations: DataFrame) -> DataFrame:
-    """Turns of pairs from one table: of ids 2k and 2k + 1 the even one is chosen, the odd one rejected."""
-    return conversations.select(F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.pmod("conv_id", F.lit(2)) == 1).alias("rejected"), "turn", "role", "text")
+def format_preferences(turns: DataFrame) -> DataFrame:
+    """One row per pair of turns (pair_id, rejected boolean, turn, role, text; other columns are left behind).
+
+    Turns are ordered by number, then role, then text, so ties and repeated rows have one order and stay. A null role is
+    "unknown", a null text empty, a null turn number comes first. Rows without a pair are in no result. A pair with one
+    side has an empty prompt and a null other completion. Two equal conversations are all prompt, with empty completions.
+    A pair becomes one row, so its conversations have to fit one task, as any rendered conversation has to.
+    """
+    clean = turns.filter("pair_id IS NOT NULL").select("pair_id", "rejected", _clean(F.col("turn"), F.col("role"), F.col("text")).alias("t"))
+    side = lambda other: F.array_sort(F.collect_list(F.when(F.col("rejected") == other, F.col("t"))))
+    return format_pairs(clean.groupBy("pair_id").agg(side(F.lit(False)).alias("c"), side(F.lit(True)).alias("r")))
+
+
+def branched(conversations: DataFrame) -> DataFrame:
+    """pair_id, c, r of every conversation (conv_id, turn, role, text), branched at its last assistant turn.
+
+    Chosen is the conversation up to that turn; rejected is the same with that answer broken off in the middle. Turns behind
+    it are no part of a pair. A conversation without such a turn, or whose last answer is empty, is all prompt. Rows without
+    an id are in no result. Nulls, ties and repeated rows are as in format_preferences.
+    """
+    clean = conversations.filter("conv_id IS NOT NULL").select(F.col("conv_id").alias("pair_id"), _clean(F.col("turn"), F.col("role"), F.col("text")).alias("t"))
+    whole = clean.groupBy("pair_id").agg(F.array_sort(F.collect_list("t")).alias("t"))
+    back = F.array_position(F.reverse(F.transform("t", lambda x: x["role"])), F.lit("assistant"))
+    whole = whole.withColumn("last", F.when(back > 0, F.size("t") - back + 1).otherwise(0).cast("int"))
+    cut = lambda x: F.struct(x["turn"].alias("turn"), x["role"].alias("role"), F.substring(x["text"], F.lit(1), F.floor(F.length(x["text"]) / 2).cast("int")).alias("text"))
+    chosen = F.when(F.col("last") > 0, F.slice("t", 1, F.col("last"))).otherwise(F.col("t"))
+    broken = F.concat(F.slice("t", 1, F.greatest(F.col("last") - 1, F.lit(0))), F.transform(F.slice("t", F.greatest(F.col("last"), F.lit(1)), 1), cut))
+    return whole.select("pair_id", chosen.alias("c"), F.when(F.col("last") > 0, broken).otherwise(F.col("t")).alias("r"))
 
 
 SQL = """
-WITH t AS (SELECT floor(conv_id / 2)::BIGINT AS pair_id, conv_id % 2 AS side, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+WITH t AS (SELECT conv_id AS pair_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS i FROM conversations WHERE conv_id IS NOT NULL),
-sizes AS (SELECT pair_id, count(*) FILTER (side = 0) AS nc, count(*) FILTER (side = 1) AS nr FROM t GROUP BY pair_id),
-eq AS (SELECT a.pair_id, min(a.i) FILTER (a.role <> b.role OR a.text <> b.text) AS miss FROM t a JOIN t b ON a.pair_id = b.pair_id AND a.i = b.i AND a.side = 0 AND b.side = 1 GROUP BY a.pair_id),
-p AS (SELECT s.*, CASE WHEN miss IS NULL THEN least(nc, nr) ELSE miss - 1 END AS p FROM sizes s LEFT JOIN eq USING (pair_id)),
-r AS (SELECT t.*, p.p, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS body FROM t JOIN p USING (pair_id)),
-o AS (SELECT *, coalesce(sum(length(body)) OVER (PARTITION BY pair_id, side ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM r WHERE i > p),
-m AS (SELECT pair_id, side, string_agg(body, '' ORDER BY i) AS body, coalesce(string_agg((pos + length(role) + 5)::VARCHAR || '-' || (pos + length(body))::VARCHAR, ',' ORDER BY i) FILTER (role = 'assistant'), '') AS mask FROM o GROUP BY pair_id, side),
-pr AS (SELECT pair_id, string_agg(body, '' ORDER BY i) AS prompt FROM r WHERE i <= p AND side = 0 GROUP BY pair_id)
-SELECT p.pair_id, nc::INT AS n_chosen, nr::INT AS n_rejected, p.p::INT AS n_prompt, coalesce(pr.prompt, '') AS prompt,
-  CASE WHEN nc > 0 THEN coalesce(c.body, '') END AS chosen, CASE WHEN nr > 0 THEN coalesce(j.body, '') END AS rejected,
-  CASE WHEN nc > 0 THEN coalesce(c.mask, '') END AS chosen_mask, CASE WHEN nr > 0 THEN coalesce(j.mask, '') END AS rejected_mask
-FROM p LEFT JOIN pr USING (pair_id) LEFT JOIN m c ON c.pair_id = p.pair_id AND c.side = 0 LEFT JOIN m j ON j.pair_id = p.pair_id AND j.side = 1
+last AS (SELECT pair_id, coalesce(max(i) FILTER (role = 'assistant'), 0) AS last, count(*) AS n FROM t GROUP BY pair_id),
+r AS (SELECT t.*, l.last, CASE WHEN l.last = 0 THEN n ELSE l.last END AS k, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS body,
+  '<|' || role || '|>' || chr(10) || substr(text, 1, length(text) // 2) || '<|end|>' || chr(10) AS broken FROM t JOIN last l USING (pair_id)),
+p AS (SELECT pair_id, any_value(k) AS k, any_value(k) - coalesce(max(CASE WHEN i = last AND body <> broken THEN 1 END), 0) AS p FROM r GROUP BY pair_id)
+SELECT pair_id, p.k::INT AS n_chosen, p.k::INT AS n_rejected, p.p::INT AS n_prompt, coalesce(string_agg(body, '' ORDER BY i) FILTER (i <= p.p), '') AS prompt,
+  coalesce(max(CASE WHEN i > p.p AND i <= p.k THEN body END), '') AS chosen, coalesce(max(CASE WHEN i > p.p AND i <= p.k THEN broken END), '') AS rejected,
+  coalesce(max(CASE WHEN i > p.p AND i <= p.k THEN '14-' || length(body) END), '') AS chosen_mask, coalesce(max(CASE WHEN i > p.p AND i <= p.k THEN '14-' || length(broken) END), '') AS rejected_mask
+FROM r JOIN p USING (pair_id) GROUP BY pair_id, p.k, p.p
 """

@@ -11,7 +11,7 @@ from .common import table
 
 
 def op1_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat_pairs.format_preferences(chat_pairs.neighbours(table(spark, sf_dir, "conversations")))
+    return chat_pairs.format_pairs(chat_pairs.branched(table(spark, sf_dir, "conversations")))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
