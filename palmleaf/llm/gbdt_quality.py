@@ -44,7 +44,7 @@ def features(raw: bytes) -> list[float]:
     return [
         float(np.log1p(n)), float(np.log1p(len(words))), n / len(words) - 1, float(min(max(map(len, counts)), 1000)), 1 - len(raw.decode("utf-8", "replace")) / n, *shares,
         len(counts) / len(words), max(counts.values()) / len(words), pairs / max(len(words) - 1, 1), 1 - len(set(lines)) / len(lines), len(words) / len(lines), float(np.log1p(len(lines))),
-        sum(x.rstrip()[-1:] in b".!?" for x in lines) / len(lines), len(press.compress(raw)) / n, len(press.compress(raw[:1024])) / min(n, 1024), symbols / len(words),
+        sum(x.rstrip()[-1:] in b".!?" for x in lines) / len(lines), len(press.compress(raw)) / n, float(np.mean([len(press.compress(raw[a : a + 1024])) / len(raw[a : a + 1024]) for a in range(0, n, 1024)])), symbols / len(words),
     ]
 
 
@@ -141,7 +141,7 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of docs, all columns, that the classifier predicts as good."""
+    """The rows of docs, all columns, that the classifier predicts as good; nulls and repeated rows are as in classify()."""
     model = fit(*training_matrix(docs, labels, sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
