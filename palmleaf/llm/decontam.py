@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, stored
 
 ERROR_RATE = 0.1
 SLICE = 4_000_000
-#: Items with fewer characters than this are too short to be evidence, and are matched by nothing.
+#: Items with fewer characters than this have no budget, and are only found as whole words.
 LEAST_CHARS = 24
 SCHEMA = "doc_id long, item_id long, distance int, end_char long"
 
@@ -92,9 +92,12 @@ class Matcher:
         self.items, where = [], {}
         for item_id, text in items:
             form = normalised(text)
-            if len(form) < LEAST_CHARS:
+            if not form:
                 continue
-            budget = int(rate * len(form))
+            if len(form) < LEAST_CHARS:
+                form, budget = f" {form} ", 0
+            else:
+                budget = int(rate * len(form))
             cut = list(pieces(form, budget))
             for (start, piece), (_, after) in zip(cut, [*cut[1:], (0, "")], strict=True):
                 half = len(after) // 2
@@ -111,7 +114,7 @@ class Matcher:
         """(item_id, distance, end in the normalised text) of the best match of every item within its budget."""
         if not self.items:
             return
-        form = normalised(text)
+        form = f" {normalised(text)} "  # so that whole words at its ends are found
         windows: dict[int, list[tuple[int, int]]] = {}
         for last, (size, at) in self.automaton.iter(form):
             begin = last + 1 - size
@@ -141,7 +144,7 @@ class Matcher:
                 if not best:
                     break
             if best <= budget:
-                yield item_id, best, end
+                yield item_id, best, min(max(end - 1 - (item[0] == " "), 0), len(form) - 2)
 
 
 def item_slices(benchmark: DataFrame) -> list[DataFrame]:
@@ -155,11 +158,14 @@ def item_slices(benchmark: DataFrame) -> list[DataFrame]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """doc_id, item_id, distance, end_char (in the normalised text) for every document row and item found in it.
 
-    Null or empty texts match nothing; items that are null, without id or under LEAST_CHARS are matched by nothing. Repeated
-    rows give repeated results. Of equal distances the first end is given. Whole texts are searched.
+    Null or empty texts match nothing; items that are null, empty or without id are matched by nothing, those under
+    LEAST_CHARS only unchanged and as whole words. Repeated rows give repeated results. Of equal distances the first end is
+    given. Whole texts are searched. Of a benchmark of several slices one at a time is on the driver.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("end_char", pa.int64())])
 
+    parts = item_slices(benchmark)
+
     def one(items: DataFrame) -> DataFrame:
         held = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in items.orderBy("item_id", "text").collect()])
 
@@ -170,13 +176,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE)
                 columns = zip(*out, strict=True) if out else [[]] * 4
                 yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-        return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+        found = docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+        return _ended(found, held) if len(parts) > 1 else found
+
+    return reduce(DataFrame.unionByName, map(one, parts))
+
 
-    return reduce(DataFrame.unionByName, map(one, item_slices(benchmark)))
+def _ended(found: DataFrame, held) -> DataFrame:
+    """A pass that is stored, so that its slice can leave the driver before the next one comes."""
+    made = stored(found, "pass")
+    held.destroy()
+    return made
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The rows of docs, all columns, in which no item is found."""
+    """The rows of docs, all columns, in which no item is found. Rows with a null or empty text stay, repeated rows alike."""
+    parts = item_slices(benchmark)
 
     def one(rest: DataFrame, items: DataFrame) -> DataFrame:
         held = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in items.orderBy("item_id", "text").collect()])
@@ -186,6 +201,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE)
             for rows, texts in slices(batches):
                 yield rows.filter(pa.array([not raw or next(matcher.find(raw.decode("utf-8", "replace")), None) is None for raw in texts], pa.bool_()))
 
-        return rest.mapInArrow(run, rest.schema)
+        kept = rest.mapInArrow(run, rest.schema)
+        return _ended(kept, held) if len(parts) > 1 else kept
 
-    return reduce(one, item_slices(benchmark), docs)
+    return reduce(one, parts, docs)
