@@ -29,13 +29,15 @@ def id_remainder(column: str, modulus: int) -> Column:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the session names in spark.checkpoint.dir; where it is unset, as in tests, one is made."""
+    """The shared folder that the session names in spark.checkpoint.dir; where it is unset on one machine, as in tests, one is made."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     made = spark.sparkContext._jsc.sc().getCheckpointDir()
     if made.isDefined():
         return made.get()
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
     root = tempfile.mkdtemp(prefix="palmleaf-checkpoint-")
     spark.sparkContext.setCheckpointDir(root)
     return root

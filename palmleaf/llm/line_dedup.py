@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 RATIO = 0.3
 #: The same for documents, whose sources are broader than a site. On sf0.1 the common line of a source is on 0.086 to 0.132 of its
@@ -43,7 +44,8 @@ def _line(x: Column) -> Column:
 
 
 def boilerplate(rows: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """host, lines (array of hashes) from rows of (host, text)."""
+    """host, lines (array of hashes) from rows of (host, text). Rows without a host have nothing in common and count nowhere."""
+    rows = rows.filter("host <> ''")
     totals = rows.groupBy("host").agg(F.count("*").alias("n_pages"))
     distinct = F.array_distinct(F.transform(F.filter(F.transform(F.split("text", "\n"), _line), lambda x: x != ""), lambda x: F.xxhash64(x)))
     counts = rows.select("host", F.explode(distinct).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
@@ -52,39 +54,49 @@ def boilerplate(rows: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_
 
 
 def drop_boilerplate(rows: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """rows (host, text and any more columns) with text cut to its other lines, n_lines and n_dropped.
+    """rows (host, text and any more columns) with text cut to its other lines, and n_lines and n_dropped, which take the place
+    of columns of these names.
 
     Lines are split at \\n and compared without outer blanks; blank lines are kept where they are and not counted. A null
-    text stays null, with no lines; a null host is a site of its own. Every row counts as a page, repeated rows too, so
-    text that fills a site with copies is boilerplate there. Names starting with an underscore are used inside.
+    text stays null, with no lines; a null or empty host is no site, and its rows lose no line. Every row counts as a page, repeated rows too, so
+    text that fills a site with copies is boilerplate there.
     """
-    rows = rows.withColumn("host", F.coalesce("host", F.lit("")))
-    found = boilerplate(rows.select("host", "text"), ratio, least_pages).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int") if "_row" not in rows.columns else F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(found.withColumnRenamed("lines", "_lines"), ["host", "_salt"], "left")
+    names = [c for c in rows.columns if c not in ("host", "text", "n_lines", "n_dropped")]
+    held = rows.select(F.coalesce("host", F.lit("")).alias("host"), "text", F.struct(*names).alias("_row") if names else F.lit(None).alias("_row"))
+    found = boilerplate(held.select("host", "text"), ratio, least_pages).select("host", F.col("lines").alias("_lines"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    # rows with equal texts differ in other columns, by which they are dealt, too
+    plain = [F.col("_row")[c] for c in names if isinstance(rows.schema[c].dataType, AtomicType)]
+    joined = held.withColumn("_salt", F.pmod(F.xxhash64("text", *plain), F.lit(SALTS)).cast("int")).join(found, ["host", "_salt"], "left")
     none = F.array().cast("array<bigint>")
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda x: (_line(x) == "") | ~F.array_contains(F.coalesce("_lines", none), F.xxhash64(_line(x))))
     full = lambda a: F.coalesce(F.size(F.filter(a, lambda x: _line(x) != "")), F.lit(0))
     out = joined.withColumn("_kept", kept).withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(full(lines)))
     out = out.withColumn("n_dropped", F.col("n_lines") - F.when(F.col("text").isNull(), 0).otherwise(full(F.col("_kept")))).withColumn("text", F.array_join("_kept", "\n"))
-    return out.drop("_salt", "_lines", "_kept")
+    return out.select(*(F.col("_row")[c].alias(c) for c in names), "host", "text", "n_lines", "n_dropped")
 
 
 def dedup_pages(pages: DataFrame) -> DataFrame:
-    """page_id, host, n_lines, n_dropped, text of every row of pages (page_id, url, html)."""
+    """page_id, host, n_lines, n_dropped, text of every row of pages (page_id, url, html; other columns are left behind).
+
+    A page with a null URL, or one without a host, has host "" and loses no line. A null page has a null text.
+    """
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), page_text(F.col("html")).alias("text"))
     return drop_boilerplate(rows).select("page_id", "host", "n_lines", "n_dropped", "text")
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
-    """docs with the same columns: source is the site, text loses its boilerplate, n_chars follows the text."""
+    """docs with the same columns and rows: source is the site, text loses its boilerplate, n_chars follows the text.
+
+    Rows are as in drop_boilerplate; those without a source lose no line.
+    """
     names = docs.columns
-    rows = docs.withColumnsRenamed({c: f"d_{c}" for c in names}).withColumn("host", F.col("d_source")).withColumn("text", F.col("d_text")).withColumn("_row", F.col("d_doc_id"))
-    out = drop_boilerplate(rows, DOCUMENT_RATIO).withColumn("d_text", F.col("text"))
+    rows = docs.select(*(F.col(c).alias(f"d_{i}") for i, c in enumerate(names)), F.col("source").alias("host"), "text")
+    out = drop_boilerplate(rows, DOCUMENT_RATIO)
+    new = {"text": F.col("text")}
     if "n_chars" in names:
-        out = out.withColumn("d_n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*(F.col(f"d_{c}").alias(c) for c in names))
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(new.get(c, F.col(f"d_{i}")).alias(c) for i, c in enumerate(names)))
 
 
 SQL = r"""
@@ -95,7 +107,7 @@ numbered AS (SELECT *, row_number() OVER () AS k FROM texts),
 split AS (SELECT k, host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM numbered),
 lines AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS t FROM split),
 totals AS (SELECT host, count(*) AS n_pages FROM numbered GROUP BY host),
-common AS (SELECT l.host, l.t FROM lines l JOIN totals USING (host) WHERE t <> '' GROUP BY l.host, l.t, n_pages HAVING count(DISTINCT k) >= 3 AND count(DISTINCT k) >= 0.3::DOUBLE * n_pages),
+common AS (SELECT l.host, l.t FROM lines l JOIN totals USING (host) WHERE t <> '' AND l.host <> '' GROUP BY l.host, l.t, n_pages HAVING count(DISTINCT k) >= 3 AND count(DISTINCT k) >= 0.3::DOUBLE * n_pages),
 marked AS (SELECT l.*, c.t IS NOT NULL AS bad FROM lines l LEFT JOIN common c ON l.host = c.host AND l.t = c.t),
 back AS (SELECT k, count(*) FILTER (t <> '')::INT AS n_lines, count(*) FILTER (bad)::INT AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT bad), '') AS text FROM marked GROUP BY k)
 SELECT n.page_id, n.host, coalesce(b.n_lines, 0)::INT AS n_lines, coalesce(b.n_dropped, 0)::INT AS n_dropped, CASE WHEN n.text IS NULL THEN NULL ELSE b.text END AS text FROM numbered n LEFT JOIN back b USING (k)

@@ -68,20 +68,30 @@ def copies(rows: DataFrame, sizes: DataFrame, tie: list[Column] | None = None) -
 
 
 def mix_words(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row of docs (doc_id, source, text)."""
+    """doc_id, size, source_size, target, taken for every row of docs (doc_id, source, text; other columns are left behind).
+
+    A null text has size 0 and is not taken; nulls, ties and repeated rows are as in copies().
+    """
     sizes = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
     return copies(sizes, sizes).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The rows of docs with all their columns, each as often as it is taken, numbered by copy_no from 0."""
+    """The rows of docs with all their columns, each as often as it is taken, numbered by copy_no from 0.
+
+    Null texts have no words and are never taken; nulls, ties and repeated rows are as in copies(). Where docs has a column
+    copy_no, the number's name gets underscores behind it until it is free.
+    """
+    number = "copy_no"
+    while number in docs.columns:
+        number += "_"
     names = docs.columns
     kept = docs.withColumnsRenamed({c: f"d_{i}" for i, c in enumerate(names)})
     at = {c: f"d_{i}" for i, c in enumerate(names)}
     rows = kept.select(F.col(at["doc_id"]).alias("doc_id"), F.col(at["source"]).alias("source"), word_count(F.col(at["text"])).alias("size"), "*")
     sizes = stored(rows.select("doc_id", "source", "size"), "sizes")
     out = copies(rows, sizes, [F.xxhash64(at["text"])]).filter("copies > 0")
-    return out.select(*(F.col(at[c]).alias(c) for c in names), F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)).alias("copy_no"))
+    return out.select(*(F.col(at[c]).alias(c) for c in names), F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)).alias(number))
 
 
 SQL = f"""

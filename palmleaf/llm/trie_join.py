@@ -480,7 +480,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     repeat the kept id, one stays.
     """
     found = join_documents(docs)
-    kept = stored(found.filter("n_shingles > 0 AND doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
+    free = "kept_id"
+    while free in docs.columns:
+        free += "_"
+    kept = stored(found.filter("n_shingles > 0 AND doc_id = component_id").select(F.col("doc_id").alias(free)).distinct(), "kept")
     worded = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")) > 0
-    named = docs.filter(F.col("doc_id").isNotNull() & worded).join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    named = docs.filter(F.col("doc_id").isNotNull() & worded).join(kept, F.col("doc_id") == F.col(free), "left_semi")
     return named.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull() | ~worded))
