@@ -35,7 +35,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("mixture", mixture)]
 
-#: The classifier, the trie join and edit matching have no SQL form; tests/llm holds the stages against brute force.
+#: The classifier, the trie join and edit matching have no SQL form; tests/llm holds run() against plain Python.
 ORACLE_SQL = None
 
 
