@@ -5,11 +5,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..tables import EXTRA_BASES, GLUE, IMPOSSIBLE, IMPOSTERS, INDEX, KINZI, LATIN, LETTER_OR_MARK, MARKS, PLACEHOLDERS, PRIORITY, SCRIPT, SPLIT
 
@@ -27,23 +29,29 @@ def strip_glue(text: Column) -> Column:
 
 
 _KEYS = sorted(IMPOSTERS, key=len, reverse=True)
-_IMPOSTER = re.compile("|".join(_KEYS))
+_IMPOSTER = re.compile("|".join([*(k for k in _KEYS if len(k) > 1), f"[{''.join(k for k in _KEYS if len(k) == 1)}]"]))
 _RUN = re.compile(f"(?<=[{INDEX}])[{BY_PRIORITY}]{{2,}}")
 
 
 def imposters_cleaned(text: str) -> str:
-    return _IMPOSTER.sub(lambda m: IMPOSTERS[m.group()], text)
+    return _IMPOSTER.sub(lambda m: IMPOSTERS[m[0]], text)
 
 
 def marks_reordered(text: str) -> str:
-    return _RUN.sub(lambda m: "".join(sorted(set(m.group()), key=PRIORITY.__getitem__)), text)
+    return _RUN.sub(lambda m: _ordered(m[0]), text)
+
+
+@lru_cache(1 << 16)
+def _ordered(run: str) -> str:
+    return "".join(sorted(set(run), key=PRIORITY.__getitem__))
 
 
 def _normalized(text: str) -> str:
-    return unicodedata.normalize("NFC", text).translate(_NO_GLUE)
+    text = text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)
+    return _GLUED.sub("", text)
 
 
-_NO_GLUE = dict.fromkeys(map(ord, GLUE))
+_GLUED = re.compile("[" + re.escape(GLUE) + "]+")
 
 
 def _arrow(one):
@@ -83,37 +91,170 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
-def mark_counts(text: Column) -> dict[str, Column]:
-    """marks, attached, pairs, descents, repeats: what the rates are made of."""
-    attached_text = F.array_join(F.regexp_extract_all(text, F.lit(f"[{INDEX}][{MARKS}]*"), 0), "")
-    order = BY_PRIORITY[:16]
-    descents = "|".join(f"{m}(?=[{order[:i]}])" for i, m in enumerate(order) if i)
-    runs = F.filter(F.regexp_extract_all(text, F.lit(f"[{INDEX}]([{MARKS}]+)"), 1), lambda x: F.length(x) > 1)
-    repeats = F.aggregate(runs, F.lit(0), lambda n, x: n + F.length(x) - F.size(F.array_distinct(F.split(x, ""))))
-    attached = _count(attached_text, f"[{MARKS}]")
-    return {"marks": _count(text, f"[{MARKS}]"), "attached": attached, "pairs": attached - _count(attached_text, f"[{INDEX}][{MARKS}]"), "descents": _count(attached_text, descents), "repeats": repeats}
+def _table(chars: str) -> np.ndarray:
+    """Membership by code point of the characters of a regular expression class."""
+    pattern = re.compile(chars if chars.startswith("[") else f"[{chars}]")
+    return np.array([bool(pattern.match(chr(i))) for i in range(LIMIT)] + [False])
+
+
+#: Code points from here on are in no class.
+LIMIT = 0x2100
+IS_MARK, IS_INDEX, IS_SCAN_BASE, IS_SPLIT, IS_SIDE = map(_table, (MARKS, INDEX, SCAN_BASE, SPLIT, LETTER_OR_MARK))
+IS_CONSONANT, IS_DIGIT, IS_DEBRIS = map(_table, ("\u1000-\u1021", "\u1040-\u1049", MARKS + "\u1039"))
+IS_SPLIT[[0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0]] = IS_SPLIT[0x1680] = IS_SPLIT[0x2000:0x200B] = IS_SPLIT[0x2028:0x202A] = IS_SPLIT[[0x202F, 0x205F]] = False
+RANK = np.zeros(LIMIT + 1, np.int64)
+for _mark, _rank in PRIORITY.items():
+    RANK[ord(_mark)] = _rank
+_PAIRS = [tuple(map(_table, re.findall(r"\[[^]]*\]|.", p))) for p in IMPOSSIBLE]
+
+
+class Codes:
+    """The code points of a batch of texts as one array, a newline behind each text, and the row of every code point."""
+
+    def __init__(self, texts: pd.Series):
+        plain = [t if isinstance(t, str) else "" for t in texts]
+        self.n = len(plain)
+        raw = np.frombuffer(("\n".join(plain) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.at = np.minimum(raw, LIMIT).astype(np.int64)
+        self.row = np.repeat(np.arange(self.n), [len(t) + 1 for t in plain]) if self.n else np.zeros(len(raw), np.int64)
+        self.index = np.arange(len(raw))
+
+    def count(self, hit: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row[hit], minlength=self.n)
+
+    def attached(self, bases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Marks that follow a base with nothing but marks between, and where each position's last other character is."""
+        mark = IS_MARK[self.at]
+        last = np.maximum.accumulate(np.where(mark, 0, self.index))
+        return mark & bases[self.at[last]], last
+
+    def followed(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Positions of the first class with the second behind them."""
+        return np.r_[first[self.at[:-1]] & second[self.at[1:]], False]
 
 
-def score(text: Column) -> dict[str, Column]:
-    """marks, orphan, disorder, duplicate and score; all 0 without marks."""
-    c = mark_counts(text)
+def _one(char: str) -> np.ndarray:
+    return _table(char)
+
+
+_VIRAMA, _KILLER, _NGA = map(_one, ("\u1039", "\u103a", "\u1004"))
+COUNTS = ("marks", "attached", "pairs", "descents", "repeats")
+
+
+@F.pandas_udf(StructType([StructField(c, LongType()) for c in COUNTS]))
+def _mark_counts(text: pd.Series) -> pd.DataFrame:
+    c = Codes(text)
+    attached, last = c.attached(IS_INDEX)
+    rank = RANK[c.at]
+    second = attached & np.r_[False, IS_MARK[c.at[:-1]]]
+    at = np.flatnonzero(attached)
+    key = np.sort(last[at] * 32 + rank[at])
+    again = np.flatnonzero(key[1:] == key[:-1])
+    return pd.DataFrame({
+        "marks": c.count(IS_MARK[c.at]), "attached": c.count(attached), "pairs": c.count(second),
+        "descents": c.count(second & (np.r_[0, rank[:-1]] > rank)), "repeats": np.bincount(c.row[key[again] // 32], minlength=c.n),
+    })
+
+
+def mark_counts(text: Column) -> Column:
+    """struct of marks, attached, pairs, descents, repeats: what the rates are made of. One numpy pass over each Arrow batch."""
+    return _mark_counts(text)
+
+
+def score(counts: Column) -> dict[str, Column]:
+    """marks, orphan, disorder, duplicate and score of a column of mark_counts; all 0 without marks."""
     rate = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
-    orphan, disorder = rate(c["marks"] - c["attached"], c["marks"]), rate(c["descents"], c["pairs"])
-    return {"marks": c["marks"].cast("long"), "orphan": orphan, "disorder": disorder, "duplicate": rate(c["repeats"], c["attached"]), "score": F.when(c["marks"] > 0, 1 - F.greatest(orphan, disorder)).otherwise(0.0)}
+    orphan, disorder = rate(counts["marks"] - counts["attached"], counts["marks"]), rate(counts["descents"], counts["pairs"])
+    return {"marks": counts["marks"], "orphan": orphan, "disorder": disorder, "duplicate": rate(counts["repeats"], counts["attached"]), "score": F.when(counts["marks"] > 0, 1 - F.greatest(orphan, disorder)).otherwise(0.0)}
 
 
 def words(text: Column) -> Column:
     return F.filter(F.split(text, f"[{SPLIT}]+"), lambda x: x != "")
 
 
-def scan_totals(text: Column) -> dict[str, Column]:
-    """Hits of each damage rule in one text."""
-    rest = F.regexp_replace(F.regexp_replace(text, f"[{SCAN_BASE}][{SCAN_BASE}{MARKS}]*", " "), f"[^{MARKS}]", "")
-    impossible = sum((_count(text, p) for p in IMPOSSIBLE), _count(text, f"{KINZI}(?![\u1000-\u1021])"))
-    return {
-        "orphan": F.length(rest), "impossible": impossible, "stray": F.size(F.filter(words(text), lambda x: x.rlike(f"^[{MARKS}\u1039]+$"))),
-        "digit": _count(text, f"(?<=[{LETTER_OR_MARK}])[\u1040-\u1049](?=[{LETTER_OR_MARK}])"), "virama": _count(text, "\u1039(?![\u1000-\u1021])"),
-    }
+def scan_hits(c: Codes) -> dict[str, np.ndarray]:
+    """For each damage rule whether it hits at a position. Of impossible pairs a position counts once for each pair."""
+    loose = IS_MARK[c.at] & ~c.attached(IS_SCAN_BASE)[0]
+    impossible = np.zeros(len(c.at), np.int64)
+    for first, second in _PAIRS:
+        hit = c.followed(first, second)
+        if (first & second).any():  # matches do not overlap: every second one of a run
+            starts = np.maximum.accumulate(np.where(hit & ~np.r_[False, hit[:-1]], c.index, 0))
+            hit &= (c.index - starts) % 2 == 0
+        impossible += hit
+    ends = np.r_[IS_CONSONANT[c.at[1:]], False]
+    kinzi = np.zeros(len(c.at), bool)
+    kinzi[:-2] = _NGA[c.at[:-2]] & _KILLER[c.at[1:-1]] & _VIRAMA[c.at[2:]] & ~ends[2:]
+    split = IS_SPLIT[c.at]
+    starts = ~split & np.r_[True, split[:-1]]
+    clean = np.cumsum(~split & ~IS_DEBRIS[c.at])
+    stop = np.searchsorted(np.flatnonzero(split), np.flatnonzero(starts))
+    stray = np.zeros(len(c.at), bool)
+    begin = np.flatnonzero(starts)
+    stray[begin] = clean[np.flatnonzero(split)[stop]] == clean[begin] - (~IS_DEBRIS[c.at[begin]])
+    side = IS_SIDE[c.at]
+    digit = IS_DIGIT[c.at] & np.r_[False, side[:-1]] & np.r_[side[1:], False]
+    return {"orphan": loose, "impossible": impossible + kinzi, "stray": stray, "digit": digit, "virama": _VIRAMA[c.at] & ~ends}
+
+
+RULES = ("orphan", "impossible", "stray", "digit", "virama")
+
+
+@F.pandas_udf(StructType([StructField(r, IntegerType()) for r in RULES]))
+def _scan_totals(text: pd.Series) -> pd.DataFrame:
+    c = Codes(text)
+    return pd.DataFrame({k: np.bincount(c.row, v, c.n).astype(np.int32) for k, v in scan_hits(c).items()})
+
+
+def scan_totals(text: Column) -> Column:
+    """struct of the hits of each damage rule in one text; numpy over Arrow batches."""
+    return _scan_totals(text)
+
+
+_REPEAT = re.compile(r"([\u1000-\u109f]{2,4})\1{2,}")
+
+
+HIT = StructType([StructField("rule", StringType()), StructField("pos", IntegerType()), StructField("word", StringType()), StructField("line", IntegerType()), StructField("context", StringType())])
+
+
+@F.pandas_udf(ArrayType(HIT))
+def _scan_rows(text: pd.Series) -> pd.Series:
+    c = Codes(text)
+    found: list[list[tuple]] = [[] for _ in range(c.n)]
+    first = np.searchsorted(c.row, np.arange(c.n))
+    hits = scan_hits(c)
+    for rule in RULES:
+        for at in np.flatnonzero(hits[rule]).tolist():
+            found[c.row[at]] += [(rule, at - int(first[c.row[at]]))] * int(hits[rule][at])
+    out = []
+    for t, some in zip(text, found, strict=True):
+        t = t if isinstance(t, str) else ""
+        some += [("repeat", m.start()) for m in _REPEAT.finditer(t)]
+        out.append([{"rule": r, "pos": i, "word": cluster_at(t, i), "line": 1 + t.count("\n", 0, i), "context": context_at(t, i)} for r, i in some])
+    return pd.Series(out)
+
+
+#: The longest reported word and context.
+WORD, CONTEXT = 27, 110
+_BREAK = re.compile(f"[{SPLIT}]")
+
+
+def cluster_at(text: str, at: int) -> str:
+    """The start of the token around a position; the character itself where that breaks tokens."""
+    ends = [m.start() for m in _BREAK.finditer(text, at)][:1]
+    start = max((m.end() for m in _BREAK.finditer(text, max(0, at - 4096), at)), default=max(0, at - 4096))
+    return text[start : ends[0] if ends else len(text)][:WORD] or text[at : at + 1]
+
+
+def context_at(text: str, at: int, size: int = CONTEXT) -> str:
+    """The start of the line around a position, without outer blanks."""
+    a, b = text.rfind("\n", 0, at) + 1, text.find("\n", at)
+    return text[a : b if b > 0 else len(text)].strip()[:size]
+
+
+def scan_rows(text: Column) -> Column:
+    """Every hit of the six damage rules: rule, offset, word, line number and context."""
+    return _scan_rows(text)
 
 
 def repeats(text: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,7 +26,7 @@ def port(url: Column) -> Column:
 def host(url: Column) -> Column:
     """Lower-case host without user, port and final dot; null for other schemes and ports above 65535."""
     name = F.regexp_replace(F.lower(F.regexp_replace(F.regexp_replace(part(url, 2), "^.*@", ""), r":\d*$", "")), r"\.$", "")
-    valid = scheme(url).isin("http", "https") & (F.coalesce(F.expr("try_cast(null as int)"), F.when(port(url) == "", F.lit(0)).otherwise(port(url).try_cast("int"))) <= 65535)
+    valid = scheme(url).isin("http", "https") & (F.when(port(url) == "", F.lit(0)).otherwise(port(url).try_cast("int")) <= 65535)
     return F.when(valid & (name != ""), name)
 
 
@@ -41,18 +39,34 @@ def in_domains(name: Column, domains: str) -> Column:
     return F.coalesce(name.isin(exact) | name.rlike("\\.(" + "|".join(d.replace(".", "\\.") for d in exact) + ")$"), F.lit(False))
 
 
+def _by_suffix(name: Column, families: tuple[tuple[str, str], ...]) -> Column:
+    """What stands for the listed domain that a host is or ends with: one search and one look-up."""
+    known = {d: what for what, domains in reversed(families) for d in domains.split()}
+    pattern = r"(?:^|\.)(" + "|".join(d.replace(".", "\\.") for d in sorted(known, key=len, reverse=True)) + ")$"
+    table = F.map_from_arrays(F.array(*map(F.lit, known)), F.array(*map(F.lit, known.values())))
+    return F.try_element_at(table, F.regexp_extract(name, pattern, 1))
+
+
+_LABEL = r"(?:^|\.)(?:" + "|".join(SEARCH_LABELS.split()) + r")(?:\.|$)"
+
+
+def excluded_host(name: Column) -> Column:
+    """The first family that excludes a host; null where it may be crawled. Families do not hold domains of each other."""
+    return F.coalesce(_by_suffix(name, EXCLUDED), F.when(name.rlike(_LABEL), EXCLUDED[-1][0]))
+
+
 def excluded_reason(url: Column) -> Column:
-    """The first family that excludes a URL, null where it may be crawled."""
-    name = host(url)
-    out = F.when(~scheme(url).isin("http", "https") | (part(url, 2) == ""), "only HTTP(S) sites can be crawled").when(name.isNull(), "invalid HTTP(S) URL")
-    for reason, domains in EXCLUDED[:-1]:
-        out = out.when(in_domains(name, domains), reason)
-    reason, domains = EXCLUDED[-1]
-    return out.when(in_domains(name, domains) | F.arrays_overlap(F.split(name, r"\."), F.array(*map(F.lit, SEARCH_LABELS.split()))), reason)
+    """Why a URL may not be crawled, null where it may."""
+    out = F.when(~scheme(url).isin("http", "https") | (part(url, 2) == ""), "only HTTP(S) sites can be crawled").when(host(url).isNull(), "invalid HTTP(S) URL")
+    return out.otherwise(excluded_host(host(url)))
+
+
+def provider_of(name: Column) -> Column:
+    return _by_suffix(name, PROVIDERS)
 
 
 def provider(url: Column) -> Column:
-    return reduce(lambda c, p: c.when(in_domains(host(url), p[1]), p[0]), PROVIDERS[1:], F.when(in_domains(host(url), PROVIDERS[0][1]), PROVIDERS[0][0]))
+    return provider_of(host(url))
 
 
 def query_keys(url: Column) -> Column:

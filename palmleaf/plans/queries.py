@@ -54,7 +54,8 @@ _score = _score.replace(" FILTER (true)", "")
 @query(f"""WITH c AS ({_score}), r AS (SELECT *, CASE WHEN marks > 0 THEN (marks - attached) / marks ELSE 0.0 END AS o, CASE WHEN pairs > 0 THEN descents / pairs ELSE 0.0 END AS d FROM c)
 SELECT doc_id, marks::BIGINT AS marks, round(o, 9) AS orphan, round(d, 9) AS disorder, round(CASE WHEN attached > 0 THEN repeats / attached ELSE 0.0 END, 9) AS duplicate, round(CASE WHEN marks > 0 THEN 1 - greatest(o, d) ELSE 0.0 END, 9) AS score FROM r""")
 def q_script_score(spark, sf):
-    return script_docs(spark, sf).select("doc_id", *(F.round(c, 9).alias(n) if n != "marks" else c.alias(n) for n, c in S.score(F.col("t")).items()))
+    counted = script_docs(spark, sf).select("doc_id", S.mark_counts(F.col("t")).alias("c"))
+    return counted.select("doc_id", *(F.round(c, 9).alias(n) if n != "marks" else c.alias(n) for n, c in S.score(F.col("c")).items()))
 
 
 @query(f"SELECT lang, count(*) AS n, round(avg(r), 9) AS ratio FROM (SELECT lang, len(regexp_extract_all(t, '[\u1000-\u109f]')) / length(t) AS r FROM {ONE}) GROUP BY lang")
@@ -112,7 +113,7 @@ _split = S.SPLIT.replace("'", "''")
   len(regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(t, '[LD]', '.', 'g'), '[\u1040-\u1049]', 'D', 'g'), '[{LETTER_OR_MARK}]', 'LL', 'g'), 'LDL'))::INT AS digit,
   (len(regexp_extract_all(t, '\u1039')) - len(regexp_extract_all(t, '\u1039[\u1000-\u1021]')))::INT AS virama FROM {ONE}""")
 def q_scan_totals(spark, sf):
-    return script_docs(spark, sf).select("doc_id", *(c.cast("int").alias(n) for n, c in S.scan_totals(F.col("t")).items()))
+    return script_docs(spark, sf).select("doc_id", S.scan_totals(F.col("t")).alias("c")).select("doc_id", "c.*")
 
 
 @query()
@@ -167,7 +168,8 @@ _outside = "CASE WHEN page_id % 5 = 0 THEN replace(url, '.example.', '.github.')
 CASE {' '.join(f"WHEN {_in(d)} THEN {q(p)}" for p, d in PROVIDERS)} END AS provider FROM {_URL.replace('FROM pages', f'FROM (SELECT page_id, {_outside} AS url FROM pages)')}""")
 def q_excluded_reason(spark, sf):
     u = t(spark, sf, "pages").select("page_id", F.expr(_outside).alias("url"))
-    return u.select("page_id", U.host(F.col("url")).alias("host"), U.excluded_reason(F.col("url")).alias("reason"), U.provider(F.col("url")).alias("provider"))
+    named = u.select("page_id", U.host(F.col("url")).alias("host"))
+    return named.select("page_id", "host", U.excluded_host(F.col("host")).alias("reason"), U.provider_of(F.col("host")).alias("provider"))
 
 
 @query(f"""WITH s AS (SELECT page_id, sch || '://' || host || '/' AS root, list_filter(string_split(path, '/'), lambda x: x <> '') AS seg FROM {_URL})

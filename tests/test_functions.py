@@ -55,7 +55,7 @@ def test_imposters_are_replaced_once():
 
 def test_scores_are_shares(spark):
     rows = spark.createDataFrame([("ကာ",), ("ာ",), ("",), (None,), ("ကာျ",)], "t string")
-    got = [r.asDict() for r in rows.select(*(c.alias(n) for n, c in S.score(F.col("t")).items())).collect()]
+    got = [r.asDict() for r in rows.select(S.mark_counts(F.col("t")).alias("c")).select(*(c.alias(n) for n, c in S.score(F.col("c")).items())).collect()]
     assert got[0]["score"] == 1.0 and got[1]["orphan"] == 1.0 and got[2]["score"] == 0.0 and got[4]["disorder"] == 1.0
 
 
