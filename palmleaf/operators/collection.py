@@ -6,13 +6,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .relations import grouped_by_keys
+
 COLUMNS = ["author", "book", "text", "segmented", "sha256"]
 SCHEMA = "author string, book string, text string, segmented string, sha256 string, seq long, outcome string"
 LEAST_TEXT = 200
 
 
 def fold(rows: list[dict], incoming: list[dict]) -> tuple[list[dict], list[tuple[int, str]]]:
-    """The collection after the incoming rows, and what each did: deny, fix, update, replace or append."""
+    """The collection after the incoming rows, and what each did: deny, fix, update, replace or append.
+
+    A row is met by its hash, else by its text of LEAST_TEXT characters or more, which it may no longer hold: what a row held
+    before still leads to it. What counts is whether its present words are those of the incoming row.
+    """
     rows = [dict(r) for r in rows]
     by_sha, by_text, by_name = {}, {}, {}
 
@@ -22,31 +28,35 @@ def fold(rows: list[dict], incoming: list[dict]) -> tuple[list[dict], list[tuple
             by_sha[r["sha256"]] = i
         if len(r["text"].strip()) >= LEAST_TEXT:
             by_text[r["text"].strip()] = i
-        by_name.setdefault(r["book"], i)
 
-    for i in range(len(rows)):
+    for i, r in enumerate(rows):
         index(i)
+        by_name.setdefault(r["book"], i)
     done = []
     for new in incoming:
         text = new["text"].strip()
-        same = by_text.get(text) if len(text) >= LEAST_TEXT else None
-        held = by_sha.get(new["sha256"]) if new["sha256"] else None
-        put = {c: new[c] for c in COLUMNS}
-        if same is not None and (rows[same]["book"] != new["book"] or rows[same]["sha256"] == new["sha256"]):
-            done.append((new["seq"], "deny"))
-            continue
-        if same is not None:
-            at, what = same, "fix"
-        elif held is not None:
-            at, what = held, "update"
-            put["book"] = rows[held]["book"]
+        at = by_sha.get(new["sha256"]) if new["sha256"] else None
+        at = by_text.get(text) if at is None else at
+        put, what = {c: new[c] for c in COLUMNS}, "replace"
+        if at is not None:
+            held = rows[at]
+            words, name = held["text"].strip() == text, held["book"] == new["book"]
+            if words and (not name or held["sha256"] == new["sha256"]):
+                done.append((new["seq"], "deny"))
+                continue
+            if words and new["sha256"]:
+                what = "fix"
+            elif not words and not name:
+                what = "update"
+            put["book"] = held["book"]
         elif new["book"] in by_name:
-            at, what = by_name[new["book"]], "replace"
+            at = by_name[new["book"]]
         else:
             at, what = len(rows), "append"
+            by_name[new["book"]] = at
             rows.append(put)
         rows[at] = put
-        index(at)  # what the row held before still leads to it
+        index(at)
         done.append((new["seq"], what))
     return rows, done
 
@@ -55,10 +65,11 @@ def upsert(books: DataFrame, incoming: DataFrame, group: str) -> DataFrame:
     """books and incoming (COLUMNS, the second with seq) folded by a group column that keeps together all rows sharing a
     hash, text or name. Rows of the collection have a null seq; what became of an incoming row has its seq and outcome."""
     clean = [F.coalesce(c, F.lit("")).alias(c) for c in COLUMNS]
-    both = books.select(group, *clean, F.lit(None).cast("long").alias("seq")).unionByName(incoming.select(group, *clean, "seq"))
+    place = F.col("pos") if "pos" in books.columns else F.lit(0)
+    both = books.select(group, *clean, F.lit(None).cast("long").alias("seq"), place.cast("long").alias("pos")).unionByName(incoming.select(group, *clean, "seq", F.lit(None).cast("long").alias("pos")))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["seq", "book"])
+        part = part.sort_values(["seq", "pos", "book"])
         held = part[part.seq.isna()][COLUMNS].to_dict("records")
         new = part[part.seq.notna()].to_dict("records")
         rows, done = fold(held, new)
@@ -69,3 +80,17 @@ def upsert(books: DataFrame, incoming: DataFrame, group: str) -> DataFrame:
         return both
 
     return both.groupBy(group).applyInPandas(run, SCHEMA)
+
+
+def upsert_all(books: DataFrame, incoming: DataFrame) -> DataFrame:
+    """upsert of books (COLUMNS and pos, their order) and incoming (COLUMNS and seq), with the groups worked out here.
+
+    A group holds all rows that share a hash, a text or a name, directly or by others; only rows of one group can meet.
+    """
+    both = books.select(*COLUMNS, F.lit(None).cast("long").alias("seq"), "pos").unionByName(incoming.select(*COLUMNS, "seq", F.lit(None).cast("long").alias("pos")))
+    both = both.withColumn("id", F.when(F.col("pos").isNotNull(), F.concat(F.lit("b"), F.lpad(F.col("pos").cast("string"), 20, "0"))).otherwise(F.concat(F.lit("i"), F.lpad(F.col("seq").cast("string"), 20, "0"))))
+    text = F.trim(F.coalesce("text", F.lit("")), F.lit(" \t\n\r\f\x0b"))
+    keyed = both.select("id", "book", "sha256", F.when(F.length(text) >= LEAST_TEXT, text).alias("words"))
+    both = both.join(grouped_by_keys(keyed, "id", ["book", "sha256", "words"]), "id")
+    held = both.filter("pos IS NOT NULL")
+    return upsert(held.drop("seq", "id"), both.filter("seq IS NOT NULL").drop("pos", "id"), "group")

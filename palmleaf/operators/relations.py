@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import cut
+
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row for each key, the first in order."""
-    return df.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_place = 1").drop("_place")
+    """One row for each key, the first in order; rows are reduced before they are moved."""
+    names = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*names), F.struct(*order)).alias("_first"))
+    return best.select(*(F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns))
 
 
 def new_rows(incoming: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
@@ -73,31 +77,67 @@ def sha_backfill(books: DataFrame, ledger: DataFrame, force: bool = False) -> Da
     return joined.withColumn("outcome", state)
 
 
+BLANK = " \t\n\r\f\x0b"
+LEAST_TEXT = 200
+
+
+def _stripped(text: str) -> Column:
+    return F.trim(F.coalesce(F.col(text), F.lit("")), F.lit(BLANK))
+
+
 def upsert_outcomes(books: DataFrame, incoming: DataFrame) -> DataFrame:
-    """What each incoming row (seq, book, text, sha256) does to books, each judged against books alone.
+    """What each incoming row (seq, book, text, sha256) does to books (pos, book, text, sha256), each judged against books alone.
 
-    Order of the rules: equal text under another name or with an equal hash is denied, equal text and name with a new hash
-    is a fix, an equal hash with another text updates in place, an equal name replaces, all else is appended. Texts under
-    200 characters and empty hashes are no identity.
+    The row that it meets is the last one with its hash, else the last one with its text of LEAST_TEXT characters or more.
+    Equal words under another name or with an equal hash are denied, equal words with a new hash are a fix, other words under
+    another name an update in place. All else that meets a row, by one of those or by its name, replaces; the rest is
+    appended. Empty hashes are no identity. Texts are compared by digest, and rows without a key are dealt by their number.
+    """
+    b = books.select("pos", F.struct("pos", "book", "sha256", F.sha2(_stripped("text"), 256).alias("digest")).alias("row"), F.length(_stripped("text")).alias("size"))
+    last = lambda df, key, name: df.groupBy(key).agg(F.max("row").alias(name))
+    by_sha = last(b.filter("row.sha256 <> ''").withColumn("sha_key", F.col("row.sha256")), "sha_key", "held")
+    by_text = last(b.filter(F.col("size") >= LEAST_TEXT).withColumn("text_key", F.col("row.digest")), "text_key", "same")
+    by_name = books.groupBy(F.col("book").alias("named")).agg(F.count("*").alias("n_named"))
+    own = F.concat(F.lit("~"), F.col("seq").cast("string"))
+    i = incoming.select("seq", "book", F.coalesce("sha256", F.lit("")).alias("sha256"), F.sha2(_stripped("text"), 256).alias("digest"))
+    i = i.withColumn("sha_key", F.when(F.col("sha256") != "", F.col("sha256")).otherwise(own)).withColumn("text_key", F.col("digest"))
+    j = i.join(by_sha, "sha_key", "left").join(by_text, "text_key", "left").join(by_name, F.col("book") == F.col("named"), "left")
+    j = j.withColumn("met", F.coalesce("held", "same"))
+    words, name, sha = F.col("met.digest") == F.col("digest"), F.col("met.book") == F.col("book"), F.col("met.sha256") == F.col("sha256")
+    there = F.col("met").isNotNull()
+    outcome = F.when(there & words & (~name | sha), "deny").when(there & words & (F.col("sha256") != ""), "fix").when(there & ~words & ~name, "update").when(there | F.col("n_named").isNotNull(), "replace").otherwise("append")
+    return j.select("seq", "book", outcome.alias("outcome"))
+
+
+def grouped_by_keys(rows: DataFrame, id: str, keys: list[str]) -> DataFrame:
+    """id, group: rows that share a non-empty key, directly or by others, have one group, the least id of them.
+
+    Labels are passed from rows to keys and back until none changes; every round is a stored table and two aggregations.
     """
-    digest = F.when(F.length(F.trim("text")) >= 200, F.sha2(F.trim("text"), 256))
-    b = books.select("book", "sha256", digest.alias("digest"))
-    by_text = b.filter("digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("book", "sha256")).alias("t"))
-    by_sha = b.filter("sha256 <> ''").groupBy("sha256").agg(F.min("book").alias("sha_book"))
-    by_name = b.select("book").distinct().withColumn("named", F.lit(True))
-    i = incoming.select("seq", "book", "sha256", digest.alias("digest"))
-    j = i.join(by_text, "digest", "left").join(by_sha, "sha256", "left").join(by_name, "book", "left")
-    outcome = F.when(F.col("t").isNotNull() & ((F.col("t.book") != F.col("book")) | (F.col("t.sha256") == F.col("sha256"))), "deny").when(F.col("t").isNotNull(), "fix")
-    return j.select("seq", "book", outcome.when(F.col("sha_book").isNotNull(), "update").when(F.col("named"), "replace").otherwise("append").alias("outcome"))
+    pairs = cut(rows.select(F.col(id).alias("id"), F.explode(F.array(*(F.when(F.coalesce(k, F.lit("")) != "", F.concat(F.lit(f"{k}:"), F.sha2(F.col(k), 256))) for k in keys))).alias("key")).filter("key IS NOT NULL").distinct())
+    label = cut(rows.select(F.col(id).alias("id"), F.col(id).alias("group")))
+    while True:
+        by_key = pairs.join(label, "id").groupBy("key").agg(F.min("group").alias("group"))
+        best = pairs.join(by_key, "key").groupBy("id").agg(F.min("group").alias("least"))
+        # a group is itself a row, whose own label may be lower by now
+        new = label.join(best, "id", "left").select("id", "group", F.least("group", F.coalesce("least", "group")).alias("to"))
+        up = new.select(F.col("id").alias("to"), F.col("to").alias("further"))
+        new = cut(new.join(up, "to", "left").select("id", "group", F.least("to", F.coalesce("further", "to")).alias("to")))
+        changed = new.filter(F.col("group") != F.col("to")).limit(1).count()
+        label = new.select("id", F.col("to").alias("group"))
+        if not changed:
+            return label
 
 
 def reachable(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
-    """node, depth by breadth-first search over edges (src, dst), level by level with checkpoints."""
-    seen = seeds.select("node").distinct().withColumn("depth", F.lit(0))
+    """node, depth by breadth-first search over edges (src, dst); every level is a stored table."""
+    seen = cut(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
     front = seen
     for level in range(1, depth + 1):
-        front = front.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(level))
-        seen = seen.unionByName(front)
+        front = cut(front.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(level)))
+        seen = cut(seen.unionByName(front))
+        if front.isEmpty():
+            break
     return seen
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import script as S
 from ..functions import text_udf as T
 from ..functions import urls as U
+from ..operators import collection as C
 from ..operators import links as L
 from ..operators import relations as R
 from ..tables import EXCLUDED, GLUE, IMPOSSIBLE, IMPOSTERS, INDEX, KINZI, LATIN, LETTER_OR_MARK, MARKS, NON_DOWNLOAD_KEYS, PROVIDERS, SCRIPT, SCRIPT_2, SEARCH_KEYS, SEARCH_LABELS, TRACKING_KEYS
@@ -128,14 +130,19 @@ def q_scan_topk(spark, sf):
     return R.top_k(hits.groupBy("lang", "token").agg(F.count("*").alias("n")), ["lang"], [F.desc("n"), F.asc("token")], 25)
 
 
+#: The largest dictionary that is sent to every task.
+MOST_WORDS = 2_000_000
+
+
 @query()
 def q_unknown_words(spark, sf):
-    # the dictionary is the benchmark's words of up to 4 letters, at most 20000: a bounded list
-    words = [r[0] for r in t(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w")).filter(F.length("w").between(1, 4)).distinct().orderBy("w").limit(20000).collect()]
-    import re
-
-    found = t(spark, sf, "documents").filter("lang = 'en'").select(F.explode(T.unknown_tokens(F.lower("text"), words, re.compile("[a-z]+"))).alias("token"))
-    return R.top_k(found.groupBy("token").agg(F.count("*").alias("n")).withColumn("all", F.lit(1)), ["all"], [F.desc("n"), F.asc("token")], 40).drop("all")
+    """Words of the documents that no sequence of benchmark words of up to four letters makes up; the 40 most frequent."""
+    found = t(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w")).filter(F.length("w").between(1, 4)).distinct()
+    words = [r[0] for r in found.limit(MOST_WORDS + 1).collect()]
+    if len(words) > MOST_WORDS:
+        raise ValueError(f"a dictionary of more than {MOST_WORDS} words")
+    tokens = t(spark, sf, "documents").select(F.explode(T.unknown_tokens(F.lower("text"), words, re.compile("[a-z]+"))).alias("token"))
+    return tokens.groupBy("token").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "token").limit(40)
 
 
 # ---- URLs ----
@@ -231,13 +238,13 @@ def q_book_key(spark, sf):
     return R.book_keys(p, "p_brand", "src").select("p_partkey", "book_key")
 
 
-_files = "SELECT 'd' || (p_partkey % 3)::INT AS dir, CASE WHEN p_partkey % 2 = 0 THEN p_brand || '.pdf' ELSE p_brand || ' (' || (p_partkey % 9)::INT || ').PDF' END AS name FROM part WHERE p_partkey % 4 < 3"
+_files = "SELECT 'd' || (p_partkey % 3)::INT AS dir, CASE WHEN p_partkey % 2 = 0 THEN p_brand || '.pdf' ELSE p_brand || ' (' || (p_partkey % 9)::INT || ').PDF' END AS name FROM part"
 
 
 @query(f"WITH f AS ({_files}) SELECT dir, name FROM f a WHERE regexp_matches(name, '^.* \\([0-9]{{1,3}}\\)\\.[^.]+$') AND EXISTS (SELECT 1 FROM f b WHERE b.dir = a.dir AND b.name NOT LIKE '% (%' AND split_part(b.name, '.', 1) = regexp_extract(a.name, '^(.*) \\(', 1))")
 def q_name_dup_files(spark, sf):
     k = F.col("p_partkey")
-    f = t(spark, sf, "part").filter(k % 4 < 3).select(F.concat(F.lit("d"), (k % 3).cast("string")).alias("dir"), F.when(k % 2 == 0, F.concat("p_brand", F.lit(".pdf"))).otherwise(F.concat(F.col("p_brand"), F.lit(" ("), (k % 9).cast("string"), F.lit(").PDF"))).alias("name"))
+    f = t(spark, sf, "part").select(F.concat(F.lit("d"), (k % 3).cast("string")).alias("dir"), F.when(k % 2 == 0, F.concat("p_brand", F.lit(".pdf"))).otherwise(F.concat(F.col("p_brand"), F.lit(" ("), (k % 9).cast("string"), F.lit(").PDF"))).alias("name"))
     return R.numbered_copies(f)
 
 
@@ -261,26 +268,44 @@ def q_interval_overlap(spark, sf):
     return R.overlaps(span("click", 0.05), span("purchase", 0.02), 0.25).select("s_id", "r_id")
 
 
-@query("WITH b AS (SELECT 's' || (doc_id % 50) AS book, CASE WHEN doc_id % 3 = 0 THEN '' ELSE sha256(text) END AS sha256 FROM documents WHERE doc_id % 4 = 0), l AS (SELECT 's' || (doc_id % 70) AS book, max(sha256(text)) AS new_sha FROM documents WHERE doc_id % 4 = 1 GROUP BY 1) SELECT book, CASE WHEN new_sha IS NULL THEN 'absent' WHEN sha256 = '' THEN 'filled' WHEN sha256 = new_sha THEN 'same' ELSE 'conflict' END AS outcome, count(*) AS n FROM b LEFT JOIN l USING (book) GROUP BY ALL")
+@query("WITH b AS (SELECT 's' || (doc_id % 50) AS book, CASE WHEN doc_id % 3 = 0 THEN '' ELSE sha256(text) END AS sha256 FROM documents WHERE doc_id % 2 = 0), l AS (SELECT 's' || (doc_id % 70) AS book, max(sha256(text)) AS new_sha FROM documents WHERE doc_id % 2 = 1 GROUP BY 1) SELECT book, CASE WHEN new_sha IS NULL THEN 'absent' WHEN sha256 = '' THEN 'filled' WHEN sha256 = new_sha THEN 'same' ELSE 'conflict' END AS outcome, count(*) AS n FROM b LEFT JOIN l USING (book) GROUP BY ALL")
 def q_sha_backfill(spark, sf):
     d = t(spark, sf, "documents").withColumn("h", F.sha2("text", 256))
     name = lambda m: F.concat(F.lit("s"), (F.col("doc_id") % m).cast("string")).alias("book")
-    b = d.filter("doc_id % 4 = 0").select(name(50), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("h")).alias("sha256"))
-    return R.sha_backfill(b, d.filter("doc_id % 4 = 1").select(name(70), F.col("h").alias("sha256"))).groupBy("book", "outcome").agg(F.count("*").alias("n"))
+    b = d.filter("doc_id % 2 = 0").select(name(50), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("h")).alias("sha256"))
+    return R.sha_backfill(b, d.filter("doc_id % 2 = 1").select(name(70), F.col("h").alias("sha256"))).groupBy("book", "outcome").agg(F.count("*").alias("n"))
+
+
+_strip = "trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
 
-@query("""WITH d AS (SELECT doc_id, 'b' || doc_id % 300 AS book, text, CASE WHEN doc_id % 5 = 0 THEN '' ELSE sha256(text) END AS sha, CASE WHEN length(trim(text, ' ')) >= 200 THEN sha256(trim(text, ' ')) END AS dg FROM documents),
-b AS (SELECT * FROM d WHERE doc_id % 2 = 0), i AS (SELECT * FROM d WHERE doc_id % 2 = 1), bt AS (SELECT dg, min((book, sha)) AS t FROM b WHERE dg IS NOT NULL GROUP BY dg), bs AS (SELECT sha, min(book) AS sb FROM b WHERE sha <> '' GROUP BY sha), bn AS (SELECT DISTINCT book FROM b)
-SELECT i.doc_id AS seq, i.book, CASE WHEN t IS NOT NULL AND (t[1] <> i.book OR t[2] = i.sha) THEN 'deny' WHEN t IS NOT NULL THEN 'fix' WHEN sb IS NOT NULL THEN 'update' WHEN bn.book IS NOT NULL THEN 'replace' ELSE 'append' END AS outcome FROM i LEFT JOIN bt USING (dg) LEFT JOIN bs USING (sha) LEFT JOIN bn ON bn.book = i.book""")
+def upsert_tables(spark, sf):
+    """The documents as a collection (even ids) and as rows that come in (odd ids); every third has the hash of one before it."""
+    d = t(spark, sf, "documents").select(F.col("doc_id").alias("seq"), F.concat(F.lit("b"), (F.col("doc_id") % 300).cast("string")).alias("book"), "text", F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 3 == 0, F.concat(F.lit("h"), F.floor(F.col("doc_id") / 6).cast("string"))).otherwise(F.sha2("text", 256)).alias("sha256"))
+    return d.filter("seq % 2 = 0").withColumnRenamed("seq", "pos"), d.filter("seq % 2 = 1")
+
+
+@query(f"""WITH d AS (SELECT doc_id, 'b' || doc_id % 300 AS book, CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 3 = 0 THEN 'h' || (doc_id // 6) ELSE sha256(text) END AS sha, sha256({_strip}) AS dg, length({_strip}) AS n FROM documents),
+b AS (SELECT * FROM d WHERE doc_id % 2 = 0), i AS (SELECT * FROM d WHERE doc_id % 2 = 1),
+bs AS (SELECT sha, max((doc_id, book, sha, dg)) AS r FROM b WHERE sha <> '' GROUP BY sha), bt AS (SELECT dg, max((doc_id, book, sha, dg)) AS r FROM b WHERE n >= 200 GROUP BY dg), bn AS (SELECT DISTINCT book FROM b),
+j AS (SELECT i.*, coalesce(bs.r, bt.r) AS r, bn.book AS named FROM i LEFT JOIN bs ON bs.sha = i.sha LEFT JOIN bt ON bt.dg = i.dg LEFT JOIN bn ON bn.book = i.book)
+SELECT doc_id AS seq, book, CASE WHEN r IS NOT NULL AND r[4] = dg AND (r[2] <> book OR r[3] = sha) THEN 'deny' WHEN r IS NOT NULL AND r[4] = dg AND sha <> '' THEN 'fix' WHEN r IS NOT NULL AND r[4] <> dg AND r[2] <> book THEN 'update' WHEN r IS NOT NULL OR named IS NOT NULL THEN 'replace' ELSE 'append' END AS outcome FROM j""")
 def q_upsert_outcomes(spark, sf):
-    d = t(spark, sf, "documents").select(F.col("doc_id").alias("seq"), F.concat(F.lit("b"), (F.col("doc_id") % 300).cast("string")).alias("book"), "text", F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.sha2("text", 256)).alias("sha256"))
-    return R.upsert_outcomes(d.filter("seq % 2 = 0"), d.filter("seq % 2 = 1"))
+    return R.upsert_outcomes(*upsert_tables(spark, sf))
+
+
+@query()
+def q_upsert_fold(spark, sf):
+    """The outcome of every incoming row when all are folded in, one after the other."""
+    extra = lambda df: df.withColumn("author", F.lit("")).withColumn("segmented", F.lit(""))
+    return C.upsert_all(*map(extra, upsert_tables(spark, sf))).filter("seq IS NOT NULL").select("seq", "outcome")
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS src, (o_custkey * 7 + o_orderkey) % 1500 AS dst FROM orders WHERE o_orderkey % 9 = 0), w AS (SELECT range AS node, 0 AS depth FROM range(1, 40) UNION SELECT e.dst, depth + 1 FROM w JOIN e ON e.src = w.node WHERE depth < 3) SELECT node, min(depth)::INT AS depth FROM w GROUP BY node""")
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS src, (o_custkey * 7 + o_orderkey) % 1500 AS dst FROM orders), w AS (SELECT c_custkey AS node, 0 AS depth FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 0 UNION SELECT e.dst, depth + 1 FROM w JOIN e ON e.src = w.node WHERE depth < 3) SELECT node, min(depth)::INT AS depth FROM w GROUP BY node""")
 def q_bfs_depth(spark, sf):
-    e = t(spark, sf, "orders").filter("o_orderkey % 9 = 0").select(F.col("o_custkey").alias("src"), ((F.col("o_custkey") * 7 + F.col("o_orderkey")) % 1500).alias("dst")).distinct()
-    return R.reachable(e, spark.range(1, 40).withColumnRenamed("id", "node"), 3)
+    e = t(spark, sf, "orders").select(F.col("o_custkey").alias("src"), ((F.col("o_custkey") * 7 + F.col("o_orderkey")) % 1500).alias("dst")).distinct()
+    seeds = t(spark, sf, "customer").filter("c_mktsegment = 'BUILDING' AND c_acctbal < 0").select(F.col("c_custkey").alias("node"))
+    return R.reachable(e, seeds, 3)
 
 
 @query("""WITH p AS (SELECT conv_id AS doc, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS page, text, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations), k AS (SELECT *, least(n, 4) AS k FROM p),

@@ -90,12 +90,19 @@ def test_upsert_outcomes(spark):
     rows, done = C.fold([row("A", long, "1")], [row("B", long, "2", 0), row("A", long, "1", 1), row("A", long, "3", 2), row("C", other, "3", 3), row("A", "short", "9", 4), row("D", "new", "8", 5)])
     assert [o for _, o in done] == ["deny", "deny", "fix", "update", "replace", "append"]
     assert [r["book"] for r in rows] == ["A", "D"]
-    again = C.fold(rows, [])[0]
-    assert again == rows
-    books = spark.createDataFrame([("g", "", "A", long, "", "1")], "g string, author string, book string, text string, segmented string, sha256 string")
-    new = spark.createDataFrame([("g", "", "B", long, "", "2", 0), ("g", "", "E", "x", "", "", 1)], "g string, author string, book string, text string, segmented string, sha256 string, seq long")
-    got = C.upsert(books, new, "g").collect()
-    assert sorted(r["outcome"] for r in got) == ["append", "deny", "row", "row"]
+    assert C.fold(rows, [])[0] == rows
+    # the hash leads before the text; short texts are compared, too; a text that its row no longer holds is checked again
+    assert C.fold([row("A", long, "1"), row("B", other, "2")], [row("C", other, "1", 0)])[1] == [(0, "update")]
+    assert C.fold([row("A", "short", "1")], [row("A", " short", "1", 0)])[1] == [(0, "deny")]
+    assert [o for _, o in C.fold([row("A", long, "1")], [row("A", other, "1", 0), row("Z", long, "7", 1)])[1]] == ["replace", "update"]
+
+
+def test_upsert_of_a_collection_equals_one_fold(spark, sf):
+    books, incoming = Q.upsert_tables(spark, sf)
+    put = lambda r, seq: {"author": "", "book": r["book"], "text": r["text"], "segmented": "", "sha256": r["sha256"], "seq": seq}
+    want = C.fold([put(r, None) for r in books.orderBy("pos").collect()], [put(r, r["seq"]) for r in incoming.orderBy("seq").collect()])[1]
+    got = Q.q_upsert_fold(spark, sf).collect()
+    assert sorted((r["seq"], r["outcome"]) for r in got) == sorted(want) and len({o for _, o in want}) > 2
 
 
 def test_ledgers_and_stream(spark, tmp_path):
