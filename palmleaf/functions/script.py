@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from ..tables import EXTRA_BASES, GLUE, IMPOSSIBLE, IMPOSTERS, INDEX, KINZI, LATIN, LETTER_OR_MARK, MARKS, PLACEHOLDERS, PRIORITY, SCRIPT, SPLIT
+from ..tables import COMMON_ENGLISH, EXTRA_BASES, GLUE, IMPOSSIBLE, IMPOSSIBLE_LETTERS, IMPOSTERS, INDEX, KINZI, LATIN, LETTER_OR_MARK, MARKS, PLACEHOLDERS, PRIORITY, SCRIPT, SPLIT, VOWELLESS
 
 BY_PRIORITY = "".join(sorted(PRIORITY, key=PRIORITY.__getitem__))
 LETTERS = "abcdefghijklmnopqr"
@@ -74,6 +74,14 @@ order_text = _arrow(lambda t: marks_reordered(_normalized(t)))
 cleanup_text = _arrow(lambda t: marks_reordered(imposters_cleaned(_normalized(t))))
 
 
+_IMPOSSIBLE_RUN = re.compile("\u1031[\u102d\u102f\u1030\u1036]+")
+
+
+def cleanup_marks(text: str) -> str:
+    """Reordered, and vowels dropped that cannot follow the e vowel."""
+    return _IMPOSSIBLE_RUN.sub("\u1031", marks_reordered(text))
+
+
 def drop_impossible_marks(text: Column) -> Column:
     return F.regexp_replace(text, "\u1031[\u102d\u102f\u1030\u1036]+", "\u1031")
 
@@ -168,6 +176,38 @@ def score(counts: Column) -> dict[str, Column]:
     return {"marks": counts["marks"], "orphan": orphan, "disorder": disorder, "duplicate": rate(counts["repeats"], counts["attached"]), "score": F.when(counts["marks"] > 0, 1 - F.greatest(orphan, disorder)).otherwise(0.0)}
 
 
+def english_likeness(text: Column) -> dict[str, Column]:
+    """letters, runs, common_ratio, violation_rate, max_run, has_spaces and verdict (english, not-english or null), all in the JVM."""
+    runs = F.regexp_extract_all(text, F.lit("[A-Za-z]+"), 0)
+    total = lambda a, f: F.aggregate(a, F.lit(0), lambda n, w: n + f(w))
+    flag = lambda c, n=1: F.when(c, n).otherwise(0)
+    letters, size = total(runs, F.length), F.size(runs)
+    words_ = F.filter(runs, lambda w: F.length(w) >= 2)
+    known = F.array(*map(F.lit, COMMON_ENGLISH.split()))
+    common = F.size(F.filter(words_, lambda w: F.array_contains(known, F.lower(w))))
+    ratio = F.when(F.size(words_) > 0, common / F.size(words_)).otherwise(0.0)
+    # pairs overlap, so each position is looked at: a match of length 0 in front of a pair
+    pairs = "(?=" + "|".join(IMPOSSIBLE_LETTERS.split()) + ")"
+
+    def faults(w: Column) -> Column:
+        low, n = F.lower(w), F.length(w)
+        acronym = (n <= 6) & (w == F.upper(w))
+        vowelless = ~acronym & (n >= 3) & ~low.isin(VOWELLESS.split()) & ~low.rlike("[aeiouy]")
+        return flag(vowelless) + flag(low.rlike(r"(.)\1\1\1"), 2) + F.regexp_count(low, F.lit(pairs)) + F.regexp_count(low, F.lit("q(?=[^u])")) + flag(n > 16) + flag(n > 20) + flag(n > 45, 2)
+
+    rate = F.when(size > 0, total(runs, faults) / letters).otherwise(0.0)
+    longest = F.coalesce(F.array_max(F.transform(runs, F.length)), F.lit(0))
+    return {"letters": letters, "runs": size, "common_ratio": ratio, "violation_rate": rate, "max_run": longest, "has_spaces": (size > 1) & text.contains(" ")}
+
+
+def english_verdict(c: dict[str, Column]) -> Column:
+    """english, not-english, or null where there is too little to tell."""
+    ratio, rate = c["common_ratio"], c["violation_rate"]
+    yes = ((ratio >= 0.15) & (rate <= 0.02) & (c["max_run"] <= 20)) | ((ratio >= 0.08) & c["has_spaces"] & (rate <= 0.01) & (c["max_run"] <= 16))
+    no = ((rate > 0.03) & (ratio < 0.05)) | (~c["has_spaces"] & (c["max_run"] > 20) & (ratio < 0.05)) | ((ratio > 0) & (ratio < 0.05) & (rate > 0.015)) | ((ratio == 0) & (c["letters"] >= 24) & (c["runs"] >= 4))
+    return F.when(c["letters"] >= 12, F.when(yes, "english").when(no, "not-english"))
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(text, f"[{SPLIT}]+"), lambda x: x != "")
 

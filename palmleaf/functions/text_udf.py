@@ -111,17 +111,25 @@ def segmented(text: Column, syllables: Iterable[str]) -> Column:
 
 
 def transition_probability(text: Column, alphabet: str, matrix: np.ndarray) -> Column:
-    """Logistic of the summed log-likelihood ratios of adjacent characters; the last row and column are text borders and other characters."""
+    """Logistic of the negative sum of log-likelihood ratios of adjacent characters; the last row and column of the matrix are text
+    borders and other characters, NaN is no evidence, and a text without any has negative infinity."""
     code, border = {c: i for i, c in enumerate(alphabet)}, len(alphabet)
 
     @F.pandas_udf("double")
     def run(values: pd.Series) -> pd.Series:
         def one(t: str) -> float:
             at = np.array([border, *(code.get(c, border) for c in t), border])
-            if (at == border).all():
-                return 0.0
-            return float(1 / (1 + np.exp(-matrix[at[:-1], at[1:]].sum())))
+            told = matrix[at[:-1], at[1:]]
+            told = told[~np.isnan(told)]
+            if (at == border).all() or not len(told):
+                return float("-inf")
+            return float(1 / (1 + np.exp(np.clip(told.sum(), -700, 700))))
 
         return values.map(one, na_action="ignore")
 
     return run(text)
+
+
+def encoding_label(probability: Column, threshold: float = 0.5) -> Column:
+    """ZAWGYI, UNICODE or UNKNOWN from a transition probability; negative infinity stands for text without known characters."""
+    return F.when(probability == float("-inf"), "UNKNOWN").when(probability > threshold, "ZAWGYI").otherwise("UNICODE")

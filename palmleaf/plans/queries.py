@@ -12,7 +12,6 @@ from ..functions import script as S
 from ..functions import text_udf as T
 from ..functions import urls as U
 from ..operators import collection as C
-from ..operators import links as L
 from ..operators import relations as R
 from ..tables import EXCLUDED, GLUE, IMPOSSIBLE, IMPOSTERS, INDEX, KINZI, LATIN, LETTER_OR_MARK, MARKS, NON_DOWNLOAD_KEYS, PROVIDERS, SCRIPT, SCRIPT_2, SEARCH_KEYS, SEARCH_LABELS, TRACKING_KEYS
 
@@ -123,11 +122,14 @@ def q_scan_repeats(spark, sf):
     return script_docs(spark, sf).select("doc_id", S.repeats(F.col("t")).alias("repeats"))
 
 
-@query(f"""WITH w AS (SELECT lang, unnest(list_filter(regexp_split_to_array(t, '[{_split}]+'), lambda x: regexp_matches(x, '^[{M}\u1039]+$'))) AS token FROM {ONE}), c AS (SELECT lang, token, count(*) AS n FROM w GROUP BY ALL)
-SELECT lang, token, n, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, token) AS place FROM c) WHERE place <= 25""")
+@query(f"""WITH l AS (SELECT lang, doc_id, list_filter(regexp_split_to_array(t, '[{_split}]+'), lambda x: x <> '') AS ws FROM {ONE}),
+w AS (SELECT lang, doc_id, unnest(ws) AS token, generate_subscripts(ws, 1) AS i FROM l), c AS (SELECT lang, token, count(*) AS n, min((doc_id, i)) AS first FROM w WHERE regexp_matches(token, '^[{M}\u1039]+$') GROUP BY lang, token)
+SELECT lang, token, n, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, first) AS place FROM c) WHERE place <= 25""")
 def q_scan_topk(spark, sf):
-    hits = script_docs(spark, sf).select("lang", F.explode(F.filter(S.words(F.col("t")), lambda x: x.rlike(f"^[{M}\u1039]+$"))).alias("token"))
-    return R.top_k(hits.groupBy("lang", "token").agg(F.count("*").alias("n")), ["lang"], [F.desc("n"), F.asc("token")], 25)
+    """The most frequent tokens made of marks only, equal ones by where they were first seen."""
+    words = script_docs(spark, sf).select("lang", "doc_id", F.posexplode(S.words(F.col("t"))).alias("i", "token"))
+    hits = words.filter(F.col("token").rlike(f"^[{M}\u1039]+$")).groupBy("lang", "token").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "i")).alias("first"))
+    return R.top_k(hits, ["lang"], [F.desc("n"), F.asc("first")], 25).drop("first")
 
 
 #: The largest dictionary that is sent to every task.
@@ -195,16 +197,6 @@ def q_file_name(spark, sf):
     return t(spark, sf, "pages").select("page_id", U.file_name(F.col("url")).alias("name"))
 
 
-@query()
-def q_page_links(spark, sf):
-    return L.page_links(t(spark, sf, "pages"))
-
-
-@query()
-def q_file_links(spark, sf):
-    return L.page_links(t(spark, sf, "pages"), files_only=True)
-
-
 @query(f"SELECT host, count(DISTINCT url) AS n, count(DISTINCT url) > 20 AS large FROM {_URL} GROUP BY host")
 def q_sitemap_estimate(spark, sf):
     return t(spark, sf, "pages").groupBy(U.host(F.col("url")).alias("host")).agg(F.countDistinct("url").alias("n")).withColumn("large", F.col("n") > 20)

@@ -65,3 +65,24 @@ LATIN = "abcdefghijklmnopqrstuvwxyz"
 SCRIPT = "\u102c\u1017\u1005\u1012\u1031\u1016\u1002\u103e\u102d\u1007\u1000\u101c\u1019\u1014\u102f\u1015\u1040\u101b\u101e\u1010\u1030\u1039\u101d\u1001\u103a\u1036"
 #: A second alphabet, whose text holds imposters and pairs that NFC reorders.
 SCRIPT_2 = "\u1025\u103a\u1037\u101e\u103c\u1031\u1009\u102e\u1038\u1044\u1004\u102f\u1036\u1019\u102d\u1088\u1064\u108f\u1000\u1039\u1090\u107e\u106a\u102c\u100b\u1033"
+#: The consonants that take each medial.
+MEDIAL_HOSTS = {
+    "\u103b": "\u1000\u1001\u1002\u1003\u1004\u1005\u1007\u100a\u100b\u100e\u100f\u1010\u1011\u1012\u1013\u1014\u1015\u1016\u1017\u1018\u1019\u101a\u101c\u101d\u101e\u101f",
+    "\u103c": "\u1000\u1001\u1002\u1004\u1005\u100a\u1010\u1011\u1012\u1014\u1015\u1016\u1017\u1019\u101a",
+    "\u103d": "\u1000\u1001\u1002\u1004\u1005\u1006\u1007\u100a\u100f\u1010\u1011\u1012\u1013\u1014\u1015\u1016\u1017\u1018\u1019\u101a\u101b\u101c\u101d\u101e\u101f",
+    "\u103e": "\u1004\u1009\u100a\u100f\u1014\u1019\u101a\u101b\u101c\u101d\u1020",
+}
+#: Marks of download controls, of controls that are none, and the form fields that change with every visit.
+DOWNLOAD_WORDS = r"(?i)\b(download(?:\s+now|\s+file)?|get\s+file|pdf|docx)\b"
+OTHER_WORDS = r"(?i)\b(share|telegram|reply|comment|print|whatsapp|facebook|twitter|pinterest|bookmark|follow)\b"
+VOLATILE_FIELDS = ("_token", "csrf_token", "csrfmiddlewaretoken", "authenticity_token", "__requestverificationtoken")
+#: Frequent English words, words without vowels that exist, and pairs of letters that English never writes.
+COMMON_ENGLISH = (
+    "the of and a to in is you that it he was for on are as with his they i at be this have from or one had by word but not what all were we when "
+    "your can said there use an each which she do how their if will up other about out many then them these so some her would make like him into "
+    "time has look two more write go see number no way could people my than first water been call who its now find long down day did get come made "
+    "may part update volume volumes three commission ministry education government language union myanmar grammar mlc jan feb mar apr jun jul aug "
+    "sep oct nov dec am pm"
+)
+VOWELLESS = "shh hmm grr brr psst tsk cwm nth"
+IMPOSSIBLE_LETTERS = "bq cq gq hq jq kq lq mq pq vq wq xq yq zq qg qh qj qk ql qm qo qr qs qv qw qx qy qz jz jx vx xz bz pz vz wz kx cx bx fx gx hx mx px dx qq yy"

@@ -11,7 +11,7 @@ from palmleaf.functions import script as S
 from palmleaf.functions import text_udf as T
 from palmleaf.functions import urls as U
 from palmleaf.operators import collection as C
-from palmleaf.operators import links as L
+from palmleaf.plans import more  # noqa: F401  registers more queries
 from palmleaf.plans import queries as Q
 from palmleaf.sources import ledgers
 from palmleaf.streaming import jobs
@@ -68,13 +68,6 @@ def test_url_edges(spark):
     assert got[5]["r"].startswith("wiki") and got[1]["r"].startswith("only HTTP")
 
 
-def test_links():
-    html = '<base href="/d/"><a href="x.pdf#a">One <b>two</b></a><a href="x.pdf">later</a><button data-file="/y.docx" onclick="go(\'z.pdf?k=1\')">b</button><form action="/send"></form>'
-    got = L.links_of(html, "https://h.example/p")
-    assert got[0] == ("anchor", "https://h.example/d/x.pdf", "One two")
-    assert {u for _, u, _ in got} == {"https://h.example/d/x.pdf", "https://h.example/y.docx", "https://h.example/d/z.pdf?k=1", "https://h.example/send"}
-
-
 def test_word_break_repair_and_segments(spark):
     df = spark.createDataFrame([("ကခ ဂ",), (None,)], "t string")
     assert T.breaks("abab", frozenset({"ab"}), 2) and not T.breaks("aba", frozenset({"ab"}), 2)
