@@ -38,6 +38,8 @@ FREQUENT = 1 << 17
 LEAST_FREQUENT = 32
 #: Members of one part of a list.
 PART = 2048
+#: Members that are compared with a whole part at once: what bounds the memory of a comparison.
+BLOCK = 128
 #: Prefix entries that one task sorts.
 PER_TASK = 600_000
 TOP = np.int64(1 << 62)
@@ -412,26 +414,33 @@ def across(mixed: DataFrame, classes: DataFrame, width: int, forest: bool) -> Da
             get = lambda name: group.column(name).to_numpy()  # noqa: B023, E731
             node, size, component, part, p, q = map(get, ("node", "size", "component", "part", "p", "q"))
             left, right = np.flatnonzero(part == p), np.flatnonzero(part == q)
-            n, m = size[left] >> 1, size[right] >> 1
-            low = n[:, None] <= m[None, :]
-            allowed = (component[left][:, None] != component[right][None, :]) & (4 * np.minimum(n[:, None], m[None, :]) >= 3 * np.maximum(n[:, None], m[None, :]))
-            allowed &= np.where(low, (size[left] & 1).astype(bool)[:, None], (size[right] & 1).astype(bool)[None, :]) | ((n[:, None] == m[None, :]) & (size[right] & 1).astype(bool)[None, :])
+            m, own = size[right] >> 1, (size[right] & 1).astype(bool)[None, :]
+
+            def allowed(some: np.ndarray) -> np.ndarray:
+                """For some members of the left part whether a link with each of the right one is possible."""
+                n = (size[some] >> 1)[:, None]
+                out = (component[some][:, None] != component[right][None, :]) & (4 * np.minimum(n, m) >= 3 * np.maximum(n, m))
+                return out & (np.where(n <= m, (size[some] & 1).astype(bool)[:, None], own) | ((n == m) & own))  # noqa: B023
+
             raw = group.column("sketch").to_pylist()
             open_ = lambda x, y: may_link(raw[x], size[x] >> 1, raw[y], size[y] >> 1)  # noqa: B023, E731
-            if forest:
-                joined, i, j = component.copy(), [], []
-                for r, x in enumerate(left.tolist()):
-                    for y in right[allowed[r] & (joined[right] != joined[x])].tolist():
+            joined, i, j = component.copy(), [], []
+            for at in range(0, len(left), BLOCK):
+                some = left[at : at + BLOCK]
+                may = allowed(some)
+                if not forest:
+                    for x, y in zip(*np.nonzero(may), strict=True):
+                        if open_(some[x], right[y]):
+                            i.append(some[x])
+                            j.append(right[y])
+                    continue
+                for r, x in enumerate(some.tolist()):
+                    for y in right[may[r] & (joined[right] != joined[x])].tolist():
                         if joined[y] != joined[x] and open_(x, y):
                             joined[joined == joined[y]] = joined[x]
                             i.append(x)
                             j.append(y)
-                a, b = node[np.array(i, np.int64)], node[np.array(j, np.int64)]
-            else:
-                i, j = np.nonzero(allowed)
-                i, j = left[i], right[j]
-                hit = np.fromiter(map(open_, i.tolist(), j.tolist()), bool, len(i))
-                a, b = node[i[hit]], node[j[hit]]
+            a, b = node[np.array(i, np.int64)], node[np.array(j, np.int64)]
             pairs = np.unique(np.column_stack([np.maximum(a, b), np.minimum(a, b)]), axis=0) if len(a) else np.zeros((0, 2), np.int64)
             yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=out)
 
