@@ -38,7 +38,7 @@ FREQUENT = 1 << 17
 LEAST_FREQUENT = 32
 #: Members of one part of a list.
 PART = 2048
-#: Members that are compared with a whole part at once: what bounds the memory of a comparison.
+#: Members that are compared with a whole part before their pairs are passed on: what bounds the memory of a comparison.
 BLOCK = 128
 #: Prefix entries that one task sorts.
 PER_TASK = 600_000
@@ -422,27 +422,30 @@ def across(mixed: DataFrame, classes: DataFrame, width: int, forest: bool) -> Da
                 out = (component[some][:, None] != component[right][None, :]) & (4 * np.minimum(n, m) >= 3 * np.maximum(n, m))
                 return out & (np.where(n <= m, (size[some] & 1).astype(bool)[:, None], own) | ((n == m) & own))  # noqa: B023
 
+            def named(i: list, j: list) -> pa.RecordBatch:
+                a, b = node[np.array(i, np.int64)], node[np.array(j, np.int64)]  # noqa: B023
+                pairs = np.unique(np.column_stack([np.maximum(a, b), np.minimum(a, b)]), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+                return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=out)
+
             raw = group.column("sketch").to_pylist()
             open_ = lambda x, y: may_link(raw[x], size[x] >> 1, raw[y], size[y] >> 1)  # noqa: B023, E731
-            joined, i, j = component.copy(), [], []
+            joined = component.copy()
             for at in range(0, len(left), BLOCK):
-                some = left[at : at + BLOCK]
-                may = allowed(some)
-                if not forest:
-                    for x, y in zip(*np.nonzero(may), strict=True):
-                        if open_(some[x], right[y]):
-                            i.append(some[x])
-                            j.append(right[y])
-                    continue
+                some, i, j = left[at : at + BLOCK], [], []
+                may = allowed(some) & ((p[0] != q[0]) | (right[None, :] > some[:, None]))  # within one part each pair once
                 for r, x in enumerate(some.tolist()):
+                    if not forest:
+                        near = [y for y in right[may[r]].tolist() if open_(x, y)]
+                        i += [x] * len(near)
+                        j += near
+                        continue
                     for y in right[may[r] & (joined[right] != joined[x])].tolist():
                         if joined[y] != joined[x] and open_(x, y):
                             joined[joined == joined[y]] = joined[x]
                             i.append(x)
                             j.append(y)
-            a, b = node[np.array(i, np.int64)], node[np.array(j, np.int64)]
-            pairs = np.unique(np.column_stack([np.maximum(a, b), np.minimum(a, b)]), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=out)
+                if i:
+                    yield named(i, j)
 
     found = dealt.repartition(width, "key").sortWithinPartitions("key").mapInArrow(merged(cross, out), "a long, b long")
     return found.distinct()
