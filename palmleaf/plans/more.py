@@ -89,10 +89,13 @@ def q_pdf_files(spark, sf):
     return D.pdf_files(files).select("name", "is_pdf", "header", "n_pages", F.array_join("fonts", ",").alias("fonts"))
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT l_orderkey, l_quantity * 10 AS x, l_partkey % 40 * 2 AS y, l_returnflag || l_linestatus AS text, min(l_linenumber) AS seq FROM lineitem GROUP BY ALL),
+a AS (SELECT l_orderkey, 0 AS line, max(y) AS y FROM p GROUP BY l_orderkey UNION ALL SELECT a.l_orderkey, a.line + 1, max(p.y) FROM a JOIN p ON p.l_orderkey = a.l_orderkey AND p.y < a.y - 3 GROUP BY a.l_orderkey, a.line)
+SELECT a.l_orderkey, a.line, min(p.x)::DOUBLE AS x, a.y::DOUBLE AS y, 10::DOUBLE AS size, string_agg(p.text, '' ORDER BY p.x, p.y DESC, p.seq, p.text) AS text
+FROM a JOIN p ON p.l_orderkey = a.l_orderkey AND p.y BETWEEN a.y - 3 AND a.y GROUP BY a.l_orderkey, a.line, a.y""")
 def q_line_assembly(spark, sf):
-    """Lines of pages whose pieces are the items of orders."""
-    i = t(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("seq"), (F.col("l_quantity").cast("double") * 10).alias("x"), (F.col("l_partkey") % 40 * 2.0).alias("y"), F.lit(10.0).alias("size"), F.col("l_shipmode").alias("text"))
+    """Lines of pages whose pieces are the items of orders, with their two flags as text. Items of an order share line numbers."""
+    i = t(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("seq"), (F.col("l_quantity").cast("double") * 10).alias("x"), (F.col("l_partkey") % 40 * 2.0).alias("y"), F.lit(10.0).alias("size"), F.concat("l_returnflag", "l_linestatus").alias("text"))
     return D.page_lines(i, ["l_orderkey"])
 
 

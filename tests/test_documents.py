@@ -7,6 +7,7 @@ import zipfile
 import zlib
 from io import BytesIO
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -229,3 +230,19 @@ def test_lines_equal_a_plain_walk(spark):
         want[-1].append(p)
     rows = D.page_lines(spark.createDataFrame(pieces, "page int, seq int, x double, y double, size double, text string"), ["page"]).orderBy("line").collect()
     assert [r["text"] for r in rows] == ["".join(p[5] for p in sorted(b, key=lambda p: p[2])) for b in want]
+
+
+def test_lines_of_items_that_share_numbers_and_places(spark, tmp_path):
+    rows = [(1, 2, 1, 5.0, "A", "F"), (1, 42, 2, 5.0, "A", "F"), (1, 1, 1, 3.0, "N", "O"), (1, 0, 1, 1.0, "R", "F"), (2, 5, 1, 2.0, "R", "F"), (2, 5, 1, 2.0, "A", "F"), (2, 5, 2, 2.0, "A", "A")]
+    want = [(1, 0, 30.0, 4.0, 10.0, "NOAF"), (1, 1, 10.0, 0.0, 10.0, "RF"), (2, 0, 20.0, 10.0, 10.0, "AFRFAA")]
+    for n, some in enumerate((rows, rows[::-1])):
+        path = tmp_path / str(n)
+        spark.createDataFrame(some, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string").coalesce(1).write.parquet(str(path / "lineitem.parquet"))
+        assert sorted(map(tuple, Q.QUERIES["q_line_assembly"](spark, str(path)).collect())) == want
+        with duckdb.connect() as con:
+            con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{path}/lineitem.parquet/*.parquet')")
+            assert sorted(con.execute(Q.SQL["q_line_assembly"]).fetchall()) == want
+    pieces = [(1, 0, 10.0, 0.0, 10.0, x) for x in "ba"]
+    assert [r["text"] for r in D.page_lines(spark.createDataFrame(pieces, "page int, seq int, x double, y double, size double, text string").coalesce(1), ["page"]).collect()] == ["ab"]
+    none = D.page_lines(spark.createDataFrame([], "page int, seq int, x double, y double, size double, text string"), ["page"])
+    assert none.columns == ["page", "line", "x", "y", "size", "text"] and none.count() == 0
