@@ -3,17 +3,23 @@ rewriting is done in Arrow batches, which is faster than array functions there."
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..tables import COMMON_ENGLISH, EXTRA_BASES, GLUE, IMPOSSIBLE, IMPOSSIBLE_LETTERS, IMPOSTERS, INDEX, KINZI, LATIN, LETTER_OR_MARK, MARKS, PLACEHOLDERS, PRIORITY, SCRIPT, SPLIT, VOWELLESS
+from .batches import arrow_rows, bounds, each, over_slices, sizes_of
 
 BY_PRIORITY = "".join(sorted(PRIORITY, key=PRIORITY.__getitem__))
 LETTERS = "abcdefghijklmnopqr"
@@ -109,6 +115,7 @@ def _table(chars: str) -> np.ndarray:
 LIMIT = 0x2100
 IS_MARK, IS_INDEX, IS_SCAN_BASE, IS_SPLIT, IS_SIDE = map(_table, (MARKS, INDEX, SCAN_BASE, SPLIT, LETTER_OR_MARK))
 IS_CONSONANT, IS_DIGIT, IS_DEBRIS = map(_table, ("\u1000-\u1021", "\u1040-\u1049", MARKS + "\u1039"))
+IS_BREAK = IS_SPLIT.copy()  # what Python's regular expressions call a blank, too
 IS_SPLIT[[0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0]] = IS_SPLIT[0x1680] = IS_SPLIT[0x2000:0x200B] = IS_SPLIT[0x2028:0x202A] = IS_SPLIT[[0x202F, 0x205F]] = False
 RANK = np.zeros(LIMIT + 1, np.int64)
 for _mark, _rank in PRIORITY.items():
@@ -119,10 +126,11 @@ _PAIRS = [tuple(map(_table, re.findall(r"\[[^]]*\]|.", p))) for p in IMPOSSIBLE]
 class Codes:
     """The code points of a batch of texts as one array, a newline behind each text, and the row of every code point."""
 
-    def __init__(self, texts: pd.Series):
-        plain = [t if isinstance(t, str) else "" for t in texts]
+    def __init__(self, texts: list[str | None]):
+        plain = [t or "" for t in texts]
         self.n = len(plain)
         raw = np.frombuffer(("\n".join(plain) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.raw = raw
         self.at = np.minimum(raw, LIMIT).astype(np.int64)
         self.row = np.repeat(np.arange(self.n), [len(t) + 1 for t in plain]) if self.n else np.zeros(len(raw), np.int64)
         self.index = np.arange(len(raw))
@@ -254,47 +262,120 @@ def scan_totals(text: Column) -> Column:
 _REPEAT = re.compile(r"([\u1000-\u109f]{2,4})\1{2,}")
 
 
-HIT = StructType([StructField("rule", StringType()), StructField("pos", IntegerType()), StructField("word", StringType()), StructField("line", IntegerType()), StructField("context", StringType())])
-
-
-@F.pandas_udf(ArrayType(HIT))
-def _scan_rows(text: pd.Series) -> pd.Series:
-    c = Codes(text)
-    found: list[list[tuple]] = [[] for _ in range(c.n)]
+def _repeated(c: Codes, texts: list[str | None], first: np.ndarray) -> Iterator[int]:
+    """Where a unit of two to four characters stands three times or more, left to right; each search begins where it can succeed."""
+    script = (c.raw >= 0x1000) & (c.raw <= 0x109F)
+    may = np.zeros(len(c.raw), bool)
+    for n in (2, 3, 4):
+        if len(c.raw) > 3 * n:
+            same = np.cumsum(np.r_[0, (c.raw[:-n] == c.raw[n:]) & script[:-n]])
+            may[: len(same) - 2 * n] |= same[2 * n :] - same[: -2 * n] == 2 * n
+    end = -1
+    for at in np.flatnonzero(may).tolist():
+        if at >= end:
+            row = int(c.row[at])
+            if m := _REPEAT.match(texts[row] or "", at - int(first[row])):
+                end = at + m.end() - m.start()
+                yield at
+
+
+def hits_of(texts: list[str | None]) -> tuple[Codes, dict[str, np.ndarray]]:
+    """Every hit of the six damage rules by rule and place: rule (of SIX), at (of all texts), row, pos, times, line, and the word from start to end."""
+    c = Codes(texts)
     first = np.searchsorted(c.row, np.arange(c.n))
     hits = scan_hits(c)
-    for rule in RULES:
-        for at in np.flatnonzero(hits[rule]).tolist():
-            found[c.row[at]] += [(rule, at - int(first[c.row[at]]))] * int(hits[rule][at])
-    out = []
-    for t, some in zip(text, found, strict=True):
-        t = t if isinstance(t, str) else ""
-        some += [("repeat", m.start()) for m in _REPEAT.finditer(t)]
-        out.append([{"rule": r, "pos": i, "word": cluster_at(t, i), "line": 1 + t.count("\n", 0, i), "context": context_at(t, i)} for r, i in some])
-    return pd.Series(out)
+    places = [np.flatnonzero(hits[r]) for r in RULES]
+    times = [hits[r][p].astype(np.int64) for r, p in zip(RULES, places, strict=True)]
+    places.append(np.fromiter(_repeated(c, texts, first), np.int64))
+    times.append(np.ones(len(places[-1]), np.int64))
+    at, row = np.concatenate(places), c.row[np.concatenate(places)]
+    breaks = np.flatnonzero(IS_BREAK[c.at] | (c.raw == 0x3000))  # the newline behind each text is one
+    after = np.searchsorted(breaks, at)
+    start = np.maximum(np.maximum(np.where(after > 0, breaks[after - 1] + 1, 0), at - 4096), first[row])
+    end = np.minimum(breaks[after], start + WORD) if len(breaks) else start
+    lone = start >= breaks[after] if len(breaks) else start > start
+    lines = np.cumsum(np.r_[0, c.at == 10])
+    return c, {
+        "rule": np.repeat(np.arange(len(SIX)), [len(p) for p in places]), "at": at, "row": row, "pos": at - first[row], "times": np.concatenate(times),
+        "line": 1 + lines[at] - lines[first[row]], "start": np.where(lone, at, start) - first[row], "end": np.where(lone, at + 1, end) - first[row],
+    }
 
 
 #: The longest reported word and context.
 WORD, CONTEXT = 27, 110
-_BREAK = re.compile(f"[{SPLIT}]")
+SIX = (*RULES, "repeat")
+_SEEN = re.compile(r"\S")
+HIT = StructType([StructField("rule", StringType()), StructField("pos", IntegerType()), StructField("word", StringType()), StructField("line", IntegerType()), StructField("context", StringType())])
 
 
-def cluster_at(text: str, at: int) -> str:
-    """The start of the token around a position; the character itself where that breaks tokens."""
-    ends = [m.start() for m in _BREAK.finditer(text, at)][:1]
-    start = max((m.end() for m in _BREAK.finditer(text, max(0, at - 4096), at)), default=max(0, at - 4096))
-    return text[start : ends[0] if ends else len(text)][:WORD] or text[at : at + 1]
+def _scan_rows(texts: list[str | None]) -> pa.Array:
+    _, h = hits_of(texts)
+    found: list[list[dict]] = [[] for _ in texts]
+    for rule, row, pos, times, line, start, end in zip(*(h[k].tolist() for k in ("rule", "row", "pos", "times", "line", "start", "end")), strict=True):
+        t = texts[row] or ""
+        found[row] += [{"rule": SIX[rule], "pos": pos, "word": t[start:end], "line": line, "context": context_at(t, pos)}] * times
+    return pa.array(found, to_arrow_type(ArrayType(HIT)))
 
 
 def context_at(text: str, at: int, size: int = CONTEXT) -> str:
     """The start of the line around a position, without outer blanks."""
     a, b = text.rfind("\n", 0, at) + 1, text.find("\n", at)
-    return text[a : b if b > 0 else len(text)].strip()[:size]
-
-
-def scan_rows(text: Column) -> Column:
-    """Every hit of the six damage rules: rule, offset, word, line number and context."""
-    return _scan_rows(text)
+    b = b if b > 0 else len(text)
+    if (m := _SEEN.search(text, a, b)) is None:
+        return ""
+    piece = text[m.start() : min(b, m.start() + size)]
+    return piece if _SEEN.search(text, m.start() + size, b) else piece.rstrip()
+
+
+#: Every hit of the six damage rules: rule, offset, word, line number and context.
+scan_rows = over_slices(_scan_rows, ArrayType(HIT))
+#: Words that a task counts before it passes them on.
+MOST_WORDS = 1 << 16
+
+
+def scan_words(docs: DataFrame) -> DataFrame:
+    """lang, rule, word, n, first (doc_id, pos, line, context) of the hits in documents (lang, doc_id, t); hits are counted by word
+    before they are moved, and only the first of a word has its line and context looked up."""
+    names = ("lang", "rule", "word", "n", "doc_id", "pos", "line", "context")
+    schema = pa.schema(list(zip(names, (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()), strict=True)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+        for batch in batches:
+            for a, b in bounds(sizes_of(batch.column(2))):
+                _count_words(held, *(batch.column(i).slice(a, b - a).to_pylist() for i in range(3)))
+                if len(held) > MOST_WORDS:
+                    yield from arrow_rows(((k[0], SIX[k[1]], k[2], *v) for k, v in held.items()), schema)
+                    held.clear()
+        yield from arrow_rows(((k[0], SIX[k[1]], k[2], *v) for k, v in held.items()), schema)
+
+    kinds = "lang string, rule string, word string, n long, doc_id long, pos int, line int, context string"
+    counted = docs.select("lang", F.col("doc_id").cast("long").alias("doc_id"), "t").mapInArrow(run, kinds)
+    return counted.groupBy("lang", "rule", "word").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "pos", "line", "context")).alias("first"))
+
+
+def _count_words(held: dict[tuple, list], langs: list, ids: list, texts: list[str | None]) -> None:
+    """Adds the hits of a slice to the words held: (lang, rule, word) to n, doc_id, pos, line, context."""
+    _, h = hits_of(texts)
+    order = np.lexsort((h["at"], h["start"], h["row"], h["rule"]))
+    if not len(order):
+        return
+    h = {k: v[order] for k, v in h.items()}
+    same = (h["rule"][1:] == h["rule"][:-1]) & (h["row"][1:] == h["row"][:-1]) & (h["start"][1:] == h["start"][:-1]) & (h["end"][1:] == h["end"][:-1])
+    begin = np.flatnonzero(np.r_[True, ~same])
+    n = np.add.reduceat(h["times"], begin).tolist()
+    rank = lambda i: -math.inf if i is None else i
+    for times, rule, row, pos, line, start, end in zip(n, *(h[k][begin].tolist() for k in ("rule", "row", "pos", "line", "start", "end")), strict=True):
+        text = texts[row] or ""
+        key = (langs[row], rule, text[start:end])
+        old = held.get(key)
+        if old is None:
+            held[key] = [times, ids[row], pos, line, context_at(text, pos)]
+            continue
+        old[0] += times
+        here, there = (rank(ids[row]), pos), (rank(old[1]), old[2])
+        if here < there or here == there and (line, context_at(text, pos)) < (old[3], old[4]):
+            old[1:] = ids[row], pos, line, context_at(text, pos)
 
 
 def repeats(text: Column) -> Column:

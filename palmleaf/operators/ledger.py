@@ -257,7 +257,7 @@ def shown_first(rows: DataFrame, order: list[Column], line: Column, most: int =
 
 def leading_words(words: DataFrame, most: int = 25) -> DataFrame:
     """lang, rule, word, n, place, doc_id, pos, line, context of the most frequent words; equal ones by where they were first seen."""
-    place = F.row_number().over(Window.partitionBy("lang", "rule").orderBy(F.desc("n"), "first.doc_id", "first.pos"))
+    place = F.row_number().over(Window.partitionBy("lang", "rule").orderBy(F.desc("n"), "first.doc_id", "first.pos", "word"))
     return words.withColumn("place", place).filter(F.col("place") <= most).select("lang", "rule", "word", "n", "place", "first.*")
 
 

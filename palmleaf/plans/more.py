@@ -41,10 +41,11 @@ def q_english_likeness(spark, sf):
 @query()
 def q_scan_report(spark, sf):
     """Per language and rule: hits, distinct words, and the 25 most frequent words with where they were first seen."""
-    hits = script_docs(spark, sf).select("lang", "doc_id", F.explode(S.scan_rows(F.col("t"))).alias("h")).select("lang", "doc_id", "h.*")
-    words = hits.groupBy("lang", "rule", "word").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "pos", "line", "context")).alias("first"))
+    words = S.scan_words(script_docs(spark, sf))
     totals = words.groupBy("lang", "rule").agg(F.sum("n").alias("total"), F.count("*").alias("n_words"))
-    return L.leading_words(words).join(F.broadcast(totals), ["lang", "rule"])  # one row for each of a few languages and six rules
+    totals = F.broadcast(totals.withColumnsRenamed({"lang": "_lang", "rule": "_rule"}))  # one row for each of a few languages and six rules
+    found = L.leading_words(words).join(totals, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("rule") == F.col("_rule")))
+    return found.drop("_lang", "_rule")
 
 
 @query(f"""WITH s AS (SELECT doc_id, t, stray + digit + virama AS issues FROM ({SQL["q_scan_totals"]}) JOIN {ONE} USING (doc_id)),
