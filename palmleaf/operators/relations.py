@@ -114,7 +114,9 @@ def grouped_by_keys(rows: DataFrame, id: str, keys: list[str]) -> DataFrame:
 
     Labels are passed from rows to keys and back until none changes; every round is a stored table and two aggregations.
     """
-    pairs = cut(rows.select(F.col(id).alias("id"), F.explode(F.array(*(F.when(F.coalesce(k, F.lit("")) != "", F.concat(F.lit(f"{k}:"), F.sha2(F.col(k), 256))) for k in keys))).alias("key")).filter("key IS NOT NULL").distinct())
+    pairs = rows.select(F.col(id).alias("id"), F.explode(F.array(*(F.when(F.coalesce(k, F.lit("")) != "", F.concat(F.lit(f"{k}:"), F.sha2(F.col(k), 256))) for k in keys))).alias("key")).filter("key IS NOT NULL").distinct()
+    # a key of one row leads nowhere
+    pairs = cut(pairs.join(pairs.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key", "left_semi"))
     label = cut(rows.select(F.col(id).alias("id"), F.col(id).alias("group")))
     while True:
         by_key = pairs.join(label, "id").groupBy("key").agg(F.min("group").alias("group"))

@@ -65,3 +65,30 @@ def test_ratio_of_texts_without_characters_equals_sql(spark, tmp_path):
     path = written(spark, tmp_path, [*ODD, None], ("a", None, "b", "c"))
     got = sorted(map(tuple, Q.QUERIES["q_myanmar_ratio_by_lang"](spark, path).collect()), key=repr)
     assert repr(got) == repr(by_sql(path, "q_myanmar_ratio_by_lang")) and "nan" in repr(got)  # NaN is not equal to itself
+
+
+def test_slim_fold_equals_the_plain_fold(spark):
+    rng = random.Random(6)
+    texts = [x * n for x in "abc" for n in (1, 199, 200, 300)] + ["\xa0" + "a" * 200, ""]
+    row = lambda: {"author": rng.choice("xy"), "book": rng.choice(["", "A", "B", "C", "D"]), "text": rng.choice(texts) + rng.choice(["", "", str(rng.random())]), "segmented": "", "sha256": rng.choice(["", "1", "2", "3", str(rng.random())])}
+    for n in (5, 40, 400):
+        books, new = [row() | {"pos": i} for i in range(n)], [row() | {"seq": i} for i in range(n)]
+        rows, done = C.fold(books, new)
+        names = ", ".join(f"{c} string" for c in C.COLUMNS)
+        frame = lambda some, key: spark.createDataFrame([tuple(r[c] for c in (*C.COLUMNS, key)) for r in some], f"{names}, {key} long")
+        got = C.upsert_all(frame(books, "pos"), frame(new, "seq")).collect()
+        assert sorted((r["seq"], r["outcome"]) for r in got if r["seq"] is not None) == sorted(done)
+        assert sorted(tuple(r[c] for c in C.COLUMNS) for r in got if r["seq"] is None) == sorted(tuple(r[c] for c in C.COLUMNS) for r in rows)
+
+
+def test_fold_holds_no_row_that_nothing_leads_to():
+    def rows():
+        yield "g", None, "b0", "A", None, None, True
+        yield from (("g", None, f"b{i}", "A", None, None, True) for i in range(1, 200_000))
+        yield from (("g", i, f"i{i}", "A", None, None, True) for i in range(200_000))
+
+    tracemalloc.start()
+    told = collections.Counter(what for _, what, _, _ in C.slim_fold(rows()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert told == {"row": 200_000, "replace": 200_000} and peak < 1 << 20
