@@ -248,15 +248,14 @@ def scan_hits(c: Codes) -> dict[str, np.ndarray]:
 RULES = ("orphan", "impossible", "stray", "digit", "virama")
 
 
-@F.pandas_udf(StructType([StructField(r, IntegerType()) for r in RULES]))
-def _scan_totals(text: pd.Series) -> pd.DataFrame:
-    c = Codes(text)
-    return pd.DataFrame({k: np.bincount(c.row, v, c.n).astype(np.int32) for k, v in scan_hits(c).items()})
+def _scan_totals(texts: list[str | None]) -> pa.Array:
+    c = Codes(texts)
+    hits = scan_hits(c)
+    return pa.StructArray.from_arrays([pa.array(np.bincount(c.row, hits[r], c.n).astype(np.int32)) for r in RULES], RULES)
 
 
-def scan_totals(text: Column) -> Column:
-    """struct of the hits of each damage rule in one text; numpy over Arrow batches."""
-    return _scan_totals(text)
+#: struct of the hits of each damage rule in one text; numpy over slices of texts.
+scan_totals = over_slices(_scan_totals, StructType([StructField(r, IntegerType()) for r in RULES]))
 
 
 _REPEAT = re.compile(r"([\u1000-\u109f]{2,4})\1{2,}")

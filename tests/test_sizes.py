@@ -112,3 +112,26 @@ def test_single_bytes_are_read_as_one_by_one():
     for codec in ("", "cp1252", "mac_roman"):
         font = pdf.Font(codec=codec, mapped={65: "XY"}, differences={65: "n", 66: "q"}, fallback={66: "n", 200: "zz"})
         assert font.text(bytes(range(256))) == "".join(map(font._one, range(256)))
+
+
+def peak_mb(column, texts):
+    """Peak MB of an Arrow function's Python over one batch, without its input."""
+    run, values = getattr(column, "func", column), pa.array(texts)
+    tracemalloc.start()
+    n = sum(len(x) for x in run(iter([values])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts)
+    return peak / 1e6
+
+
+def holds_a_slice(column):
+    texts = ["ကာ ေ က္က၀ရ" * 300, None] * 700
+    small, large = (peak_mb(column, texts * n) for n in (1, 4))
+    return large < 1.3 * small and large < 80
+
+
+def test_damage_counts_hold_a_slice_of_a_batch(spark, tmp_path):
+    assert holds_a_slice(S.scan_totals)
+    none = written(spark, tmp_path, [])
+    assert Q.QUERIES["q_old_font_gate"](spark, none).count() == 0
