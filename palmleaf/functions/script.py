@@ -60,24 +60,16 @@ def _normalized(text: str) -> str:
 _GLUED = re.compile("[" + re.escape(GLUE) + "]+")
 
 
-def _arrow(one):
-    @F.pandas_udf(StringType())
-    def run(text: pd.Series) -> pd.Series:
-        return text.map(one, na_action="ignore")
-
-    return run
-
-
 #: Longest match first, in one pass; what is put in is not looked at again. In Arrow batches: 9 s to 1 s against a JVM form
 #: with array functions, over 1,000 documents full of imposters.
-clean_imposters = _arrow(imposters_cleaned)
+clean_imposters = each(imposters_cleaned)
 #: Behind every base the run of marks, space and newline, each once, in order of priority.
-reorder_marks = _arrow(marks_reordered)
-normalize_text = _arrow(_normalized)
+reorder_marks = each(marks_reordered)
+normalize_text = each(_normalized)
 #: Normalised and reordered, in one step.
-order_text = _arrow(lambda t: marks_reordered(_normalized(t)))
+order_text = each(lambda t: marks_reordered(_normalized(t)))
 #: Normalised, imposters replaced, reordered, in one step.
-cleanup_text = _arrow(lambda t: marks_reordered(imposters_cleaned(_normalized(t))))
+cleanup_text = each(lambda t: marks_reordered(imposters_cleaned(_normalized(t))))
 
 
 _IMPOSSIBLE_RUN = re.compile("\u1031[\u102d\u102f\u1030\u1036]+")

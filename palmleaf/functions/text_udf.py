@@ -6,9 +6,11 @@ import re
 from collections.abc import Iterable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType
+
+from .batches import each
 
 RUN = re.compile("[\u1000-\u1049\u105a-\u109f]+")
 
@@ -17,16 +19,12 @@ def convert(text: Column, rules: list[tuple[str, str]]) -> Column:
     """Ordered substitutions (pattern, replacement with \\N), such as an encoding conversion's, in one pass over Arrow batches."""
     compiled = [(re.compile(a), b) for a, b in rules]
 
-    @F.pandas_udf("string")
-    def run(values: pd.Series) -> pd.Series:
-        def one(t: str) -> str:
-            for pattern, to in compiled:
-                t = pattern.sub(to, t)
-            return t
-
-        return values.map(one, na_action="ignore")
+    def one(t: str) -> str:
+        for pattern, to in compiled:
+            t = pattern.sub(to, t)
+        return t
 
-    return run(text)
+    return each(one)(text)
 
 
 def breaks(token: str, words: frozenset[str], longest: int) -> bool:
@@ -41,25 +39,20 @@ def unknown_tokens(text: Column, words: Iterable[str], pattern: re.Pattern[str]
     """Tokens of the text that no sequence of words makes up, in order."""
     known = frozenset(words)
     longest = max(map(len, known), default=0)
+    memo: dict[str, bool] = {}
 
-    @F.pandas_udf("array<string>")
-    def run(values: pd.Series) -> pd.Series:
-        memo: dict[str, bool] = {}
-
-        def one(t: str) -> list[str]:
-            out = []
-            for token in pattern.findall(t):
-                if token not in memo:
-                    if len(memo) > 1 << 18:
-                        memo.clear()
-                    memo[token] = breaks(token, known, longest)
-                if not memo[token]:
-                    out.append(token)
-            return out
+    def one(t: str) -> list[str]:
+        out = []
+        for token in pattern.findall(t):
+            if token not in memo:
+                if len(memo) > 1 << 18:
+                    memo.clear()
+                memo[token] = breaks(token, known, longest)
+            if not memo[token]:
+                out.append(token)
+        return out
 
-        return values.map(one, na_action="ignore")
-
-    return run(text)
+    return each(one, ArrayType(StringType()))(text)
 
 
 def repaired(text: Column, words: Iterable[str], pairs: list[tuple[str, str]], pattern: re.Pattern[str] = RUN) -> Column:
@@ -82,11 +75,7 @@ def repaired(text: Column, words: Iterable[str], pairs: list[tuple[str, str]], p
         found = [v for v in variants(token) if breaks(v, known, longest)]
         return found[0] if len(found) == 1 else token
 
-    @F.pandas_udf("string")
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(lambda t: pattern.sub(lambda m: fix(m.group()), t), na_action="ignore")
-
-    return run(text)
+    return each(lambda t: pattern.sub(lambda m: fix(m.group()), t))(text)
 
 
 def segmented(text: Column, syllables: Iterable[str]) -> Column:
@@ -103,11 +92,7 @@ def segmented(text: Column, syllables: Iterable[str]) -> Column:
             i += n
         return "  ".join(out)
 
-    @F.pandas_udf("string")
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(one, na_action="ignore")
-
-    return run(text)
+    return each(one)(text)
 
 
 def transition_probability(text: Column, alphabet: str, matrix: np.ndarray) -> Column:
@@ -115,19 +100,15 @@ def transition_probability(text: Column, alphabet: str, matrix: np.ndarray) -> C
     borders and other characters, NaN is no evidence, and a text without any has negative infinity."""
     code, border = {c: i for i, c in enumerate(alphabet)}, len(alphabet)
 
-    @F.pandas_udf("double")
-    def run(values: pd.Series) -> pd.Series:
-        def one(t: str) -> float:
-            at = np.array([border, *(code.get(c, border) for c in t), border])
-            told = matrix[at[:-1], at[1:]]
-            told = told[~np.isnan(told)]
-            if (at == border).all() or not len(told):
-                return float("-inf")
-            return float(1 / (1 + np.exp(np.clip(told.sum(), -700, 700))))
-
-        return values.map(one, na_action="ignore")
+    def one(t: str) -> float:
+        at = np.array([border, *(code.get(c, border) for c in t), border])
+        told = matrix[at[:-1], at[1:]]
+        told = told[~np.isnan(told)]
+        if (at == border).all() or not len(told):
+            return float("-inf")
+        return float(1 / (1 + np.exp(np.clip(told.sum(), -700, 700))))
 
-    return run(text)
+    return each(one, DoubleType())(text)
 
 
 def encoding_label(probability: Column, threshold: float = 0.5) -> Column:

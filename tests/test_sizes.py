@@ -135,3 +135,7 @@ def test_damage_counts_hold_a_slice_of_a_batch(spark, tmp_path):
     assert holds_a_slice(S.scan_totals)
     none = written(spark, tmp_path, [])
     assert Q.QUERIES["q_old_font_gate"](spark, none).count() == 0
+
+
+def test_rewritten_texts_hold_a_slice_of_a_batch():
+    assert all(map(holds_a_slice, (S.reorder_marks, S.clean_imposters, S.order_text, S.cleanup_text, S.normalize_text)))
