@@ -11,7 +11,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,24 +148,21 @@ _VIRAMA, _KILLER, _NGA = map(_one, ("\u1039", "\u103a", "\u1004"))
 COUNTS = ("marks", "attached", "pairs", "descents", "repeats")
 
 
-@F.pandas_udf(StructType([StructField(c, LongType()) for c in COUNTS]))
-def _mark_counts(text: pd.Series) -> pd.DataFrame:
-    c = Codes(text)
+def _mark_counts(texts: list[str | None]) -> pa.Array:
+    c = Codes(texts)
     attached, last = c.attached(IS_INDEX)
     rank = RANK[c.at]
     second = attached & np.r_[False, IS_MARK[c.at[:-1]]]
     at = np.flatnonzero(attached)
     key = np.sort(last[at] * 32 + rank[at])
     again = np.flatnonzero(key[1:] == key[:-1])
-    return pd.DataFrame({
-        "marks": c.count(IS_MARK[c.at]), "attached": c.count(attached), "pairs": c.count(second),
-        "descents": c.count(second & (np.r_[0, rank[:-1]] > rank)), "repeats": np.bincount(c.row[key[again] // 32], minlength=c.n),
-    })
+    descents, repeats = c.count(second & (np.r_[0, rank[:-1]] > rank)), np.bincount(c.row[key[again] // 32], minlength=c.n)
+    found = (c.count(IS_MARK[c.at]), c.count(attached), c.count(second), descents, repeats)
+    return pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in found], COUNTS)
 
 
-def mark_counts(text: Column) -> Column:
-    """struct of marks, attached, pairs, descents, repeats: what the rates are made of. One numpy pass over each Arrow batch."""
-    return _mark_counts(text)
+#: struct of marks, attached, pairs, descents, repeats: what the rates are made of. One numpy pass over each slice of texts.
+mark_counts = over_slices(_mark_counts, StructType([StructField(c, LongType()) for c in COUNTS]))
 
 
 def score(counts: Column) -> dict[str, Column]:

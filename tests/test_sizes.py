@@ -139,3 +139,7 @@ def test_damage_counts_hold_a_slice_of_a_batch(spark, tmp_path):
 
 def test_rewritten_texts_hold_a_slice_of_a_batch():
     assert all(map(holds_a_slice, (S.reorder_marks, S.clean_imposters, S.order_text, S.cleanup_text, S.normalize_text)))
+
+
+def test_mark_counts_hold_a_slice_of_a_batch():
+    assert holds_a_slice(S.mark_counts)
