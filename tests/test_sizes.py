@@ -143,3 +143,12 @@ def test_rewritten_texts_hold_a_slice_of_a_batch():
 
 def test_mark_counts_hold_a_slice_of_a_batch():
     assert holds_a_slice(S.mark_counts)
+
+
+def test_stretches_are_unmixed_as_the_whole_text():
+    rng = random.Random(9)
+    for _ in range(3000):
+        text = "".join(rng.choice("ေြျွှကခဂရသ ာိီု့်း\n၀.္") for _ in range(rng.randrange(50)))
+        assert M.stored_order_unmixed(text) == M._unmixed(text)
+    assert M._STRETCH.search("ကာခဂိ.") is None  # clusters with one mark that is not stored are not touched
+    assert holds_a_slice(M.column(M.stored_order_unmixed))
