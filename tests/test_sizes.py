@@ -152,3 +152,10 @@ def test_stretches_are_unmixed_as_the_whole_text():
         assert M.stored_order_unmixed(text) == M._unmixed(text)
     assert M._STRETCH.search("ကာခဂိ.") is None  # clusters with one mark that is not stored are not touched
     assert holds_a_slice(M.column(M.stored_order_unmixed))
+
+
+def test_totals_of_odd_texts_equal_sql(spark, tmp_path):
+    path = written(spark, tmp_path, [x for x in ODD if x is not None] * 30)
+    assert sorted(map(tuple, Q.QUERIES["q_scan_totals"](spark, path).collect()), key=repr) == by_sql(path, "q_scan_totals")
+    # tables of a class are looked up for a slice, whatever the batch
+    assert peak_mb(S.scan_totals, ["ာ" * 1000] * 5000) < 80
