@@ -12,11 +12,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
+from ..functions.batches import rows_of
 from ..tables import DOWNLOAD_WORDS, OTHER_WORDS, PROVIDERS, VOLATILE_FIELDS
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -95,9 +95,11 @@ def targets_of(html: str, url: str) -> Iterator[tuple[int, str, str, str, str, s
     base = next((resolved(url, e.attrs["href"]) for e in page.elements if e.tag == "base" and e.attrs.get("href")), url) or url
     pos = 0
     for e in page.elements:
-        label, marker = e.words() or e.attrs.get("title", ""), e.described()
         found = [(k, v) for k, v in e.attrs.items() if k in TARGETS or k.startswith("data-")]
         found += [("onclick", m["x"]) for m in _QUOTED.finditer(e.attrs.get("onclick", "").replace("\\/", "/"))]
+        if not found:
+            continue
+        label, marker = e.words() or e.attrs.get("title", ""), e.described()
         for via, raw in found:
             if raw.strip() and not raw.strip().startswith("#") and (full := resolved(base, raw)):
                 yield pos, e.tag, via, full, label, marker
@@ -108,12 +110,7 @@ def targets_of(html: str, url: str) -> Iterator[tuple[int, str, str, str, str, s
 
 
 def _table(pages: DataFrame, schema: str, one) -> DataFrame:
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in schema.split(", ")]
-        for part in parts:
-            yield pd.DataFrame([(page, url, *x) for page, url, html in part.itertuples(index=False) for x in one(html or "", url or "")], columns=names)
-
-    return pages.select("page_id", "url", "html").mapInPandas(run, schema)
+    return rows_of(pages, ["page_id", "url", "html"], schema, lambda page, url, html: ((page, url, *x) for x in one(html or "", url or "")))
 
 
 def page_targets(pages: DataFrame) -> DataFrame:
@@ -304,15 +301,11 @@ def sitemap_of(text: str) -> tuple[str, list[str]] | None:
 def sitemap_entries(maps: DataFrame) -> DataFrame:
     """url, kind, pos, loc, route of sitemaps (url, body): pages of the site, downloads elsewhere, maps of an index; the rest is dropped."""
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = []
-            for url, body in part.itertuples(index=False):
-                kind, found = sitemap_of(body or "") or ("", [])
-                rows += [(url, kind, i, resolved(url, x)) for i, x in enumerate(found)]
-            yield pd.DataFrame(rows, columns=["url", "kind", "pos", "loc"])
+    def one(url: str | None, body: str | None) -> Iterator[tuple]:
+        kind, found = sitemap_of(body or "") or ("", [])
+        yield from ((url, kind, i, resolved(url, x)) for i, x in enumerate(found))
 
-    rows = maps.select("url", "body").mapInPandas(run, "url string, kind string, pos int, loc string")
+    rows = rows_of(maps, ["url", "body"], "url string, kind string, pos int, loc string", one)
     loc, same = F.col("loc"), F.coalesce(U.site_key(F.col("loc")) == U.site_key(F.col("url")), F.lit(False))
     host = U.host(loc)
     file = U.provider_of(host).isNotNull() | (U.is_document(loc) & ~same & U.excluded_host(host).isNull())

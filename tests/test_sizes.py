@@ -159,3 +159,16 @@ def test_totals_of_odd_texts_equal_sql(spark, tmp_path):
     assert sorted(map(tuple, Q.QUERIES["q_scan_totals"](spark, path).collect()), key=repr) == by_sql(path, "q_scan_totals")
     # tables of a class are looked up for a slice, whatever the batch
     assert peak_mb(S.scan_totals, ["ာ" * 1000] * 5000) < 80
+
+
+def test_rows_of_pages_leave_in_small_batches():
+    schema = pa.schema([("page", pa.int64()), ("label", pa.string()), ("data", pa.map_(pa.string(), pa.string()))])
+    rows = ((i, "x" * 30_000, {"k": "v"} if i % 2 else None) for i in range(400))
+    made = list(B.arrow_rows(rows, schema))
+    assert sum(b.num_rows for b in made) == 400 and max(b.nbytes for b in made) <= B.SLICE_BYTES and made[0].column(2).to_pylist()[:2] == [None, [("k", "v")]]
+    assert list(B.bounds(pa.array([B.SLICE_BYTES * 2, 1, 1]).to_numpy())) == [(0, 1), (1, 3)]
+
+
+def test_targets_of_a_page_of_nested_elements(spark):
+    pages = spark.createDataFrame([(1, "https://h.example/", "<div>" * 50 + "<a href=/x.pdf>one</a>" * 50), (2, "https://h.example/", "")], "page_id long, url string, html string")
+    assert [(r["page_id"], r["url"], r["label"]) for r in H.candidates(pages).collect()] == [(1, "https://h.example/x.pdf", "one")]
