@@ -172,3 +172,14 @@ def test_rows_of_pages_leave_in_small_batches():
 def test_targets_of_a_page_of_nested_elements(spark):
     pages = spark.createDataFrame([(1, "https://h.example/", "<div>" * 50 + "<a href=/x.pdf>one</a>" * 50), (2, "https://h.example/", "")], "page_id long, url string, html string")
     assert [(r["page_id"], r["url"], r["label"]) for r in H.candidates(pages).collect()] == [(1, "https://h.example/x.pdf", "one")]
+
+
+def test_files_leave_in_few_batches():
+    rows = ((str(i), True, 0, 1, ["Body"], {}, 0) for i in range(10_000))
+    schema = pa.schema([("name", pa.string()), ("is_pdf", pa.bool_()), ("header", pa.int32()), ("n_pages", pa.int32()), ("fonts", pa.list_(pa.string())), ("info", pa.map_(pa.string(), pa.string())), ("image_bytes", pa.int64())])
+    assert [b.num_rows for b in B.arrow_rows(rows, schema)] == [4096, 4096, 1808]
+
+
+def test_files_without_content(spark):
+    files = spark.createDataFrame([("a", None), ("b", bytearray(b"")), ("c", bytearray(b"%PDF-"))], "name string, content binary")
+    assert {r["name"]: (r["is_pdf"], r["header"], r["n_pages"]) for r in D.pdf_files(files).collect()} == {"a": (False, None, 0), "b": (False, None, 0), "c": (True, 0, 0)}
