@@ -32,9 +32,8 @@ SELECT doc_id, letters::INT AS letters, runs::INT AS runs, round(ratio, 9) AS co
   CASE WHEN letters >= 12 THEN CASE WHEN (ratio >= 0.15 AND rate <= 0.02 AND longest <= 20) OR (ratio >= 0.08 AND spaced AND rate <= 0.01 AND longest <= 16) THEN 'english'
   WHEN (rate > 0.03 AND ratio < 0.05) OR (NOT spaced AND longest > 20 AND ratio < 0.05) OR (ratio > 0 AND ratio < 0.05 AND rate > 0.015) OR (ratio = 0 AND letters >= 24 AND runs >= 4) THEN 'not-english' END END AS verdict FROM x""")
 def q_english_likeness(spark, sf):
-    c = S.english_likeness(F.col("text"))
-    told = t(spark, sf, "documents").select("doc_id", *(x.alias(n) for n, x in c.items()))
-    verdict = S.english_verdict({n: F.col(n) for n in c})
+    told = t(spark, sf, "documents").select("doc_id", S.likeness(F.col("text")).alias("c")).select("doc_id", "c.*")
+    verdict = S.english_verdict({n: F.col(n) for n in S.LIKENESS.names})
     return told.select("doc_id", "letters", "runs", F.round("common_ratio", 9).alias("common_ratio"), F.round("violation_rate", 9).alias("violation_rate"), "max_run", verdict.alias("verdict"))
 
 

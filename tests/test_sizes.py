@@ -183,3 +183,9 @@ def test_files_leave_in_few_batches():
 def test_files_without_content(spark):
     files = spark.createDataFrame([("a", None), ("b", bytearray(b"")), ("c", bytearray(b"%PDF-"))], "name string, content binary")
     assert {r["name"]: (r["is_pdf"], r["header"], r["n_pages"]) for r in D.pdf_files(files).collect()} == {"a": (False, None, 0), "b": (False, None, 0), "c": (True, 0, 0)}
+
+
+def test_likeness_of_odd_texts_equals_sql(spark, tmp_path):
+    rng = random.Random(7)
+    path = written(spark, tmp_path, [*ODD, *("".join(rng.choice("aeqzxbjTHE  ") for _ in range(rng.randrange(80))) for _ in range(300)), "q" * 70, "the " * 30 + "x" * 47])
+    assert sorted(map(tuple, Q.QUERIES["q_english_likeness"](spark, path).collect()), key=repr) == by_sql(path, "q_english_likeness")
