@@ -189,3 +189,8 @@ def test_likeness_of_odd_texts_equals_sql(spark, tmp_path):
     rng = random.Random(7)
     path = written(spark, tmp_path, [*ODD, *("".join(rng.choice("aeqzxbjTHE  ") for _ in range(rng.randrange(80))) for _ in range(300)), "q" * 70, "the " * 30 + "x" * 47])
     assert sorted(map(tuple, Q.QUERIES["q_english_likeness"](spark, path).collect()), key=repr) == by_sql(path, "q_english_likeness")
+
+
+def test_zeros_are_mended_from_left_to_right():
+    assert [M.digits_mended(x) for x in ("က၀၀က", "၀၀က", "၁၀၀က", "က၀", "၀", "", "က၀၀ာ", "က၀က", "၀က")] == ["က၀၀က", "၀၀က", "၁၀၀က", "က၀", "၀", "", "က၀ဝာ", "ကဝက", "ဝက"]
+    assert holds_a_slice(M.column(M.digits_mended))
