@@ -194,3 +194,8 @@ def test_likeness_of_odd_texts_equals_sql(spark, tmp_path):
 def test_zeros_are_mended_from_left_to_right():
     assert [M.digits_mended(x) for x in ("က၀၀က", "၀၀က", "၁၀၀က", "က၀", "၀", "", "က၀၀ာ", "က၀က", "၀က")] == ["က၀၀က", "၀၀က", "၁၀၀က", "က၀", "၀", "", "က၀ဝာ", "ကဝက", "ဝက"]
     assert holds_a_slice(M.column(M.digits_mended))
+
+
+def test_runs_of_marks_before_a_base():
+    assert M.prebase_moved("ေ") == "ေ" and M.prebase_moved("ေြက") == "ကေြ" and M.prebase_moved("ကေြခ") == M.prebase_moved("ကေြခ", {"ခေ"}) and M.prebase_moved("") == ""
+    assert holds_a_slice(M.column(M.prebase_moved))
