@@ -132,7 +132,7 @@ def file_links(targets: DataFrame) -> DataFrame:
     """Guarded URLs of PDF and DOCX files, the label of an anchor before that of another element."""
     via = F.col("via")
     rows = targets.filter((via == "onclick") | via.isin("action", "formaction") | via.startswith("data-") | ((via == "href") & (F.col("tag") == "a")))
-    rows = rows.withColumn("url", U.guarded(F.col("target"))).filter(F.col("url").isNotNull() & U.is_document(F.col("url")))
+    rows = kept(rows, "url", U.guarded(F.col("target"))).filter(U.is_document(F.col("url")))
     rows = rows.withColumn("rank", F.when((via == "href") & (F.col("tag") == "a"), 0).otherwise(1))
     return _first(rows.select("page_id", "page_url", "url", _label(F.col("label")).alias("label"), "rank", "pos"), ["page_id", "page_url", "url"], [F.col("rank"), F.col("pos")]).drop("rank")
 
@@ -166,17 +166,23 @@ def provider_links(targets: DataFrame) -> DataFrame:
     return _first(rows.select("page_id", "page_url", "url", "provider", label, rank, "pos"), ["page_id", "page_url", "url", "provider"], [F.col("rank"), F.col("pos")]).drop("rank")
 
 
-def site_page(url: Column, page: Column) -> Column:
-    """The guarded URL of a page of the same site that may be crawled and is no search, else null."""
-    clean = U.guarded(url)
-    own = (U.site_key(clean) == U.site_key(page)) & ~U.part(url, 2).contains("@") & U.excluded_host(U.host(clean)).isNull() & ~U.is_site_search(clean)
-    return F.when(own, clean)
+def kept(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column, without the rows where it is null. The value is worked out once: no filter is moved below a generator."""
+    return df.withColumn("_kept", value).withColumn(name, F.explode(F.array("_kept"))).filter(F.col(name).isNotNull()).drop("_kept")
+
+
+def site_pages(df: DataFrame, name: str, url: Column, page: Column) -> DataFrame:
+    """df with the guarded URL of a page of the same site that may be crawled and is no search; rows without one are dropped."""
+    clean, own = F.col("_clean"), F.col("_host")
+    df = kept(df, "_clean", U.guarded(url)).withColumn("_host", U.host(clean)).withColumn("_site", U.site_key(page))
+    mine = (F.regexp_replace(own, r"^www\.", "") == F.col("_site")) & ~U.part(clean, 2).contains("@") & U.excluded_host(own).isNull() & ~U.is_site_search(clean)
+    return kept(df, name, F.when(mine, clean)).drop("_clean", "_host", "_site")
 
 
 def controls(targets: DataFrame) -> DataFrame:
     """Same-site targets of elements that call themselves downloads but name no file."""
     marked = targets.filter(F.col("marker").rlike(DOWNLOAD_WORDS) & ~F.col("marker").rlike(OTHER_WORDS) & F.col("via").isin(*TARGETS, "onclick"))
-    rows = marked.withColumn("target", site_page(F.col("target"), F.col("page_url"))).filter(F.col("target").isNotNull() & ~U.is_document(F.col("target")))
+    rows = site_pages(marked, "target", F.col("target"), F.col("page_url")).filter(~U.is_document(F.col("target")))
     return _first(rows.select("page_id", "page_url", F.col("target").alias("url"), _label(F.col("marker")).alias("label"), "pos"), ["page_id", "page_url", "url"], [F.col("pos")])
 
 
@@ -230,7 +236,7 @@ def forms_of(html: str, url: str) -> Iterator[tuple[int, str, str, str, dict[str
 def download_forms(pages: DataFrame) -> DataFrame:
     """page_id, page_url, url, method, label, data, key of the same-site forms that call themselves downloads; one per key."""
     rows = _table(pages, "page_id long, page_url string, pos int, action string, method string, label string, data map<string,string>", forms_of)
-    rows = rows.filter(F.col("label").rlike(DOWNLOAD_WORDS) & ~F.col("label").rlike(OTHER_WORDS)).withColumn("url", site_page(F.col("action"), F.col("page_url"))).filter("url IS NOT NULL")
+    rows = site_pages(rows.filter(F.col("label").rlike(DOWNLOAD_WORDS) & ~F.col("label").rlike(OTHER_WORDS)), "url", F.col("action"), F.col("page_url"))
     plain = U.is_document(F.col("url"))
     rows = rows.withColumn("method", F.when(plain, "GET").otherwise(F.col("method"))).withColumn("data", F.when(plain, F.create_map().cast("map<string,string>")).otherwise(F.col("data")))
     rows = rows.withColumn("key", form_key(F.col("method"), F.col("url"), F.col("data")))
@@ -317,9 +323,9 @@ def robots_sitemaps(robots: DataFrame) -> DataFrame:
     """url, pos, sitemap: the same-site maps that a robots file (url, body) declares, each once, in order."""
     lines = robots.select("url", F.posexplode(F.split("body", r"\r\n|\r|\n")).alias("pos", "line"))
     told = F.trim(F.regexp_extract("line", r"(?i)^\s*sitemap\s*:([^#]*)", 1))
-    rows = lines.withColumn("told", told).filter("told <> ''")
+    rows = kept(lines, "told", F.nullif(told, F.lit("")))
     full = F.when(F.col("told").rlike("(?i)^https?://"), F.col("told")).otherwise(F.concat(F.regexp_replace(U.site_root(F.col("url")), "/$", ""), F.when(F.col("told").startswith("/"), "").otherwise("/"), F.col("told")))
-    rows = rows.withColumn("sitemap", site_page(full, F.col("url"))).filter("sitemap IS NOT NULL")
+    rows = site_pages(rows, "sitemap", full, F.col("url"))
     return _first(rows.select("url", "sitemap", "pos"), ["url", "sitemap"], [F.col("pos")])
 
 
