@@ -205,3 +205,7 @@ def test_a_url_is_guarded_once_in_a_row(spark, sf):
     for df in (Q.QUERIES["q_robots_sitemaps"](spark, sf), H.controls(H.page_targets(spark.read.parquet(f"{sf}/pages.parquet")))):
         filters = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if x.lstrip(" +-:").startswith("Filter")]
         assert len(filters) > 1 and max(x.count("regexp_extract(") for x in filters) < 20
+
+
+def test_logical_order_holds_a_slice_of_a_batch():
+    assert holds_a_slice(M.column(M.logical_order)) and M.logical_order("") == ""
