@@ -11,6 +11,7 @@ from ..functions import urls as U
 from ..operators import documents as D
 from ..operators import html as H
 from ..operators import ledger as L
+from ..storage import cut
 from ..streaming import jobs
 from ..tables import COMMON_ENGLISH, IMPOSSIBLE_LETTERS, SCRIPT_2, VOWELLESS
 from .queries import _URL, ONE, QUERIES, SQL, _list, query, script_docs, t
@@ -40,7 +41,7 @@ def q_english_likeness(spark, sf):
 @query()
 def q_scan_report(spark, sf):
     """Per language and rule: hits, distinct words, and the 25 most frequent words with where they were first seen."""
-    words = S.scan_words(script_docs(spark, sf))
+    words = cut(S.scan_words(script_docs(spark, sf)))  # read twice below, which would scan the texts twice
     totals = words.groupBy("lang", "rule").agg(F.sum("n").alias("total"), F.count("*").alias("n_words"))
     totals = F.broadcast(totals.withColumnsRenamed({"lang": "_lang", "rule": "_rule"}))  # one row for each of a few languages and six rules
     found = L.leading_words(words).join(totals, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("rule") == F.col("_rule")))

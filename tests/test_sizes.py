@@ -47,7 +47,9 @@ def test_report_of_words_equals_its_hits(spark, tmp_path):
         first[key] = min(first.get(key, (1 << 40,)), (r["doc_id"], r["pos"], r["line"], r["context"]))
     words = S.scan_words(Q.script_docs(spark, path)).collect()
     assert {(r["lang"], r["rule"], r["word"]): r["n"] for r in words} == dict(n) and {(r["lang"], r["rule"], r["word"]): tuple(r["first"]) for r in words} == first
-    report = Q.QUERIES["q_scan_report"](spark, path).collect()
+    report = Q.QUERIES["q_scan_report"](spark, path)
+    assert "MapInArrow" not in report._jdf.queryExecution().optimizedPlan().toString()  # the texts are scanned once, before
+    report = report.collect()
     totals = collections.Counter()
     for (lang, rule, _), times in n.items():
         totals[lang, rule] += times
